@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treeloom.functions.arrays import with_last_per_key
+from treeloom.functions.arrays import let, with_last_per_key
 
 # Words that may stand before "(" without being a call.
 KEYWORDS = [
@@ -90,7 +90,8 @@ def header_indents(code: Column) -> Column:
 
 
 def bracket_change(line: Column) -> Column:
-    return F.length(F.regexp_replace(line, r"[^(\[{]", "")) - F.length(F.regexp_replace(line, r"[^)\]}]", ""))
+    """Opening minus closing brackets."""
+    return F.length(F.translate(line, ")]}", "")) - F.length(F.translate(line, "([{", ""))
 
 
 def calls(line: Column) -> Column:
@@ -127,33 +128,39 @@ def comments(content: Column) -> Column:
 
 def imports(content: Column) -> Column:
     """Imported modules: `import` statements first, then the modules of `from` imports."""
-    code = masked(content)
-    plain = F.regexp_extract_all(code, F.lit(r"(?m)(?:^|;)[ \t]*import[ \t]+([\w. \t,]+)"), 1)
-    plain = F.flatten(F.transform(plain, lambda s: F.split(s, ",")))
-    plain = F.transform(plain, lambda s: F.regexp_extract(s, r"^\s*([\w.]+)", 1))
-    sources = F.regexp_extract_all(code, F.lit(r"(?m)(?:^|;)[ \t]*from[ \t]+\.*[ \t]*([\w.]*)[ \t]+import\b"), 1)
-    return F.filter(F.concat(plain, sources), lambda m: m != "")
+    def found(code: Column) -> Column:
+        plain = F.regexp_extract_all(code, F.lit(r"(?m)(?:^|;)[ \t]*+import[ \t]+([\w. \t,]+)"), 1)
+        plain = F.flatten(F.transform(plain, lambda s: F.split(s, ",")))
+        plain = F.transform(plain, lambda s: F.regexp_extract(s, r"^\s*([\w.]+)", 1))
+        sources = F.regexp_extract_all(
+            code, F.lit(r"(?m)(?:^|;)[ \t]*+from[ \t]+\.*[ \t]*([\w.]*)[ \t]+import\b"), 1)
+        return F.filter(F.concat(plain, sources), lambda m: m != "")
+
+    return let(masked(content), found)
 
 
 def _unquoted(literal: Column) -> Column:
-    bare = F.regexp_replace(literal, r"^[rRuU]", "")
-    width = F.when(F.rlike(bare, F.lit(r"^(?:\"\"\"|''')")), F.lit(3)).otherwise(F.lit(1))
-    return F.substring(bare, width + 1, F.length(bare) - 2 * width)
+    def inner(bare: Column) -> Column:
+        width = F.when(F.startswith(bare, F.lit('"""')) | F.startswith(bare, F.lit("'''")), F.lit(3)).otherwise(F.lit(1))
+        return let(width, lambda w: F.substring(bare, w + 1, F.length(bare) - 2 * w))
+
+    return let(F.regexp_replace(literal, r"^[rRuU]", ""), inner)
 
 
 def cleaned(doc: Column) -> Column:
     """Docstring text with the common indentation and outer blank lines removed."""
-    text = F.replace(doc, F.lit("\t"), F.lit(" " * 8))
-    lines = F.split(text, "\n")
-    rest = F.slice(lines, F.lit(2), F.size(lines))
-    margin = F.array_min(
-        F.transform(F.filter(rest, lambda l: F.ltrim(l) != ""),
-                    lambda l: F.length(F.regexp_extract(l, r"^ *", 0)))
-    )
-    start = F.coalesce(margin, F.lit(0)) + 1
-    body = F.transform(rest, lambda l: F.substring(l, start, F.length(l)))
-    joined = F.array_join(F.concat(F.array(F.ltrim(F.get(lines, F.lit(0)))), body), "\n")
-    return F.btrim(joined, F.lit("\n"))
+    def joined(lines: Column) -> Column:
+        def dedented(rest: Column) -> Column:
+            margin = F.array_min(F.transform(
+                F.filter(rest, lambda l: F.ltrim(l) != ""), lambda l: F.length(l) - F.length(F.ltrim(l))))
+            return let(F.coalesce(margin, F.lit(0)) + 1,
+                       lambda start: F.transform(rest, lambda l: F.substring(l, start, F.length(l))))
+
+        body = let(F.slice(lines, F.lit(2), F.size(lines)), dedented)
+        return F.array_join(F.concat(F.array(F.ltrim(F.get(lines, F.lit(0)))), body), "\n")
+
+    lines = F.split(F.replace(doc, F.lit("\t"), F.lit(" " * 8)), "\n")
+    return F.btrim(let(lines, joined), F.lit("\n"))
 
 
 def with_docstrings(df: DataFrame, content: str = "content", out: str = "docstrings",
@@ -163,23 +170,24 @@ def with_docstrings(df: DataFrame, content: str = "content", out: str = "docstri
     head = _HEAD_DOC_ASYNC if include_async else _HEAD_DOC
     text = F.col(content)
     tokens = F.regexp_extract_all(text, F.lit(rf"(?m){head}|{STRING}|#[^\n]*+"), 0)
-    found = F.transform(tokens, lambda t, i: F.struct(
-        F.regexp_extract(t, rf"(?m){head}", 2).alias("name"),
-        indent(t).alias("indent"),
-        i.alias("pos"),
-        cleaned(_unquoted(F.regexp_extract(t, rf"(?m){head}", 3))).alias("doc"),
-    ))
-    # A match starts with the header itself, a string or comment token never does.
+    found = F.transform(
+        # Strings and comments are only consumed; a match of the header pattern starts with it.
+        F.filter(tokens, lambda t: F.rlike(t, F.lit(r"^[ \t]*(?:class|def|async)[ \t]"))),
+        lambda t, i: F.struct(
+            F.regexp_extract(t, rf"(?m){head}", 2).alias("name"),
+            indent(t).alias("indent"),
+            i.alias("pos"),
+            cleaned(_unquoted(F.regexp_extract(t, rf"(?m){head}", 3))).alias("doc"),
+        ))
     found = F.filter(found, lambda d: (d["name"] != "") & (d["doc"] != ""))
-    top = cleaned(_unquoted(F.regexp_extract(text, rf"\A{_GAP}{_DOC}", 1)))
-    module = F.when(top != "", F.array(F.struct(
-        F.lit("module").alias("name"), F.lit(-1).alias("indent"), F.lit(-1).alias("pos"), top.alias("doc"),
-    ))).otherwise(F.array().cast("array<struct<name:string,indent:int,pos:int,doc:string>>"))
+    module = F.filter(F.array(F.struct(
+        F.lit("module").alias("name"), F.lit(-1).alias("indent"), F.lit(-1).alias("pos"),
+        cleaned(_unquoted(F.regexp_extract(text, rf"\A{_GAP}{_DOC}", 1))).alias("doc"),
+    )), lambda d: d["doc"] != "")
     return with_last_per_key(df.withColumn(out, F.concat(module, found)), out, "name")
 
 
 def complexity(content: Column) -> Column:
     """Functions plus decision points of the file."""
-    code = masked(content)
-    heads = F.regexp_extract_all(code, F.lit(rf"(?m)^[ \t]*{_DECORATOR}(?:async[ \t]+)?def[ \t]+\w+"), 0)
-    return (F.size(heads) + decisions(code)).cast("bigint")
+    heads = rf"(?m)^[ \t]*{_DECORATOR}(?:async[ \t]+)?def[ \t]+\w+"
+    return let(masked(content), lambda code: F.size(F.regexp_extract_all(code, F.lit(heads), 0)) + decisions(code)).cast("bigint")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from treeloom.functions.arrays import let
 from treeloom.functions.pycode import BLANKS
 
 STRING = (
@@ -67,6 +68,6 @@ def comments(content: Column) -> Column:
 
 def complexity(content: Column) -> Column:
     """Declared functions plus decision points of the file."""
-    code = masked(content)
-    heads = F.regexp_extract_all(code, F.lit(_FUNCTION), 0)
-    return (F.size(heads) + F.size(F.regexp_extract_all(code, F.lit(DECISIONS), 0))).cast("bigint")
+    return let(masked(content), lambda code: (
+        F.size(F.regexp_extract_all(code, F.lit(_FUNCTION), 0))
+        + F.size(F.regexp_extract_all(code, F.lit(DECISIONS), 0)))).cast("bigint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from treeloom.functions.arrays import with_last_per_key
+from treeloom.functions.arrays import let, with_last_per_key
 
 _YAML_LINE = r"(?m)^([A-Za-z_][^:#\n]*?)[ \t]*:(?:[ \t]+([^\n]*?))?[ \t]*$"
 _HEADING = r"(?m)^(#{1,6})[ \t]+([^\n]*\S)[ \t]*$"
@@ -22,16 +22,24 @@ def yaml_scalars(content: Column) -> Column:
     """Top-level `key: scalar` lines as (key, pos, value, type); keys that open a block have
     type `block`."""
     found = F.regexp_extract_all(content, F.lit(_YAML_LINE), 0)
-    return F.transform(found, lambda l, i: _yaml_scalar(
-        F.regexp_extract(l, _YAML_LINE, 1), i, F.regexp_extract(l, _YAML_LINE, 2)))
+    return F.transform(found, lambda l, i: let(
+        F.struct(F.regexp_extract(l, _YAML_LINE, 1).alias("key"), F.regexp_extract(l, _YAML_LINE, 2).alias("text")),
+        lambda kv: _yaml_scalar(kv["key"], i, kv["text"])))
 
 
 def _yaml_scalar(key: Column, pos: Column, text: Column) -> Column:
     quoted = F.rlike(text, F.lit(r"^(?:\".*\"|'.*')$"))
     bare = F.regexp_replace(text, r"[ \t]+#.*$", "")
-    kind = (
-        F.when(quoted, F.lit("string"))
-        .when((text == "") | F.rlike(bare, F.lit(r"^[|>&][+-]?\w*$")), F.lit("block"))
+    return F.when(quoted, F.struct(
+        key.alias("key"), pos.alias("pos"),
+        F.substring(text, F.lit(2), F.length(text) - 2).alias("value"), F.lit("string").alias("type"),
+    )).otherwise(let(bare, lambda b: F.struct(
+        key.alias("key"), pos.alias("pos"), b.alias("value"), _yaml_type(b).alias("type"))))
+
+
+def _yaml_type(bare: Column) -> Column:
+    return (
+        F.when((bare == "") | F.rlike(bare, F.lit(r"^[|>&][+-]?\w*$")), F.lit("block"))
         .when(bare.isin("~", "null", "Null", "NULL"), F.lit("null"))
         .when(bare.isin("true", "True", "TRUE", "false", "False", "FALSE"), F.lit("bool"))
         .when(F.rlike(bare, F.lit(r"^[-+]?[0-9]+$")), F.lit("int"))
@@ -39,13 +47,10 @@ def _yaml_scalar(key: Column, pos: Column, text: Column) -> Column:
         .when(F.rlike(bare, F.lit(r"^[\[{]")), F.lit("flow"))
         .otherwise(F.lit("string"))
     )
-    value = F.when(quoted, F.substring(text, F.lit(2), F.length(text) - 2)).otherwise(bare)
-    return F.struct(key.alias("key"), pos.alias("pos"), value.alias("value"), kind.alias("type"))
 
 
 def _json_string(text: Column) -> Column:
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return let(F.to_json(F.array(text)), lambda listed: F.substring(listed, F.lit(2), F.length(listed) - 2))
 
 
 def with_yaml_value(df: DataFrame, content: str = "content", out: str = "yaml") -> DataFrame:

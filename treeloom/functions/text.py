@@ -60,29 +60,34 @@ def signature_type(data: Column) -> Column:
     return chosen
 
 
-def file_type(data: Column, ext: Column) -> Column:
-    """MIME type: by signature, else by extension or content for readable text."""
-    text = data.cast("string")
-    readable = F.is_valid_utf8(text) & ~has_nul(data)
+def text_type(content: Column, ext: Column) -> Column:
+    """MIME type of readable text: by extension, else by its first characters."""
     by_ext = F.lit(None).cast("string")
     for known, mime in dims.TEXT_TYPE_OF.items():
         by_ext = F.when(ext == known, F.lit(mime)).otherwise(by_ext)
-    head = F.lower(F.substring(text, 1, 256))
+    head = F.substring(content, 1, 256)
     by_content = (
-        F.when(F.rlike(head, F.lit(r"^\s*<(!doctype\s+html|html[\s>])")), F.lit("text/html"))
+        F.when(F.rlike(head, F.lit(r"(?i)^\s*<(!doctype\s+html|html[\s>])")), F.lit("text/html"))
         .when(F.rlike(head, F.lit(r"^\s*<\?xml")), F.lit("application/xml"))
         .otherwise(F.lit("text/plain"))
     )
-    return F.when(data.isNull(), F.lit(None)).otherwise(
-        F.coalesce(
-            signature_type(data),
-            F.when(F.length(data) == 0, F.lit("inode/x-empty")),
-            F.when(readable, F.coalesce(by_ext, by_content)),
-            F.lit("application/octet-stream"),
-        )
+    return (
+        F.when(content == "", F.lit("inode/x-empty"))
+        .when(F.contains(content, F.lit("\0")), F.lit("application/octet-stream"))
+        .when(content.isNotNull(), F.coalesce(by_ext, by_content))
     )
 
 
+def file_type(data: Column, ext: Column) -> Column:
+    """MIME type: by signature, else that of readable text, else unknown bytes."""
+    text = data.cast("string")
+    return F.when(data.isNotNull(), F.coalesce(
+        signature_type(data),
+        F.when(F.is_valid_utf8(text), text_type(text, ext)),
+        F.lit("application/octet-stream"),
+    ))
+
+
 def is_text(mime: Column, ext: Column, data: Column) -> Column:
     """Text by MIME type, by extension, or by being UTF-8 without NUL bytes and without the first
     bytes of a binary format."""

@@ -12,18 +12,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from treeloom.functions import pycode
+from treeloom.functions.arrays import rows_of
 
 
 def code_lines(files: DataFrame) -> DataFrame:
     """Features of the code lines that open or close a block, call something, or branch."""
-    code = files.select("file_path", pycode.masked(F.col("content")).alias("code")).select(
+    # Tests on the raw text and on whole lines are cheap; they keep the features from being
+    # computed for lines that cannot matter.
+    has_header = F.contains("content", F.lit("def")) | F.contains("content", F.lit("class"))
+    code = files.where(has_header).select("file_path", pycode.masked(F.col("content")).alias("code")).select(
         "file_path", "code", pycode.header_indents(F.col("code")).alias("levels"))
-    units = code.where(F.size("levels") > 0).select(
-        "file_path", "levels", F.posexplode(pycode.units(F.col("code"))).alias("pos", "unit"))
-    unit = F.col("unit")
+    unit = F.col("item")
+    units = rows_of(code, pycode.units(F.col("code")), "file_path", "levels").where(
+        (pycode.indent(unit) <= F.array_max("levels")) | F.rlike(unit, F.lit(rf"[()\[\]{{}}]|{pycode.DECISIONS}")))
     kind = F.regexp_extract(unit, pycode.HEAD, 2)
-    lines = units.select(
-        "file_path", "levels", "pos",
+    return units.select(
+        "file_path", "levels", F.col("ord").alias("pos"),
         pycode.indent(unit).alias("indent"),
         kind.alias("kind"),
         F.regexp_extract(unit, pycode.HEAD, 3).alias("name"),
@@ -33,9 +37,6 @@ def code_lines(files: DataFrame) -> DataFrame:
         pycode.calls(unit).alias("calls"),
         pycode.decisions(unit).alias("decisions"),
     )
-    return lines.where(
-        (F.col("change") != 0) | (F.col("indent") <= F.array_max("levels"))
-        | (F.size("calls") > 0) | (F.col("decisions") > 0))
 
 
 def definitions(files: DataFrame) -> DataFrame:

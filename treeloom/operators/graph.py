@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from treeloom import dims
 from treeloom.functions import text
+from treeloom.functions.arrays import let, rows_of
 from treeloom.operators.joins import attach, questions, salted
 
 # Class of the extensions every importer tries; others count only for importers that have them.
@@ -43,16 +44,15 @@ def targets(files: DataFrame, boundary: bool = True) -> DataFrame:
         order[1].cast("bigint").alias("file_ord"), "file_path")
     narrow = files.select("module_path", _extension_class(ext).alias("ext_class"), stem.alias("stem"), first.alias("first"))
     if boundary:
-        parts = F.split("stem", "/")
-        suffixes = F.transform(
+        suffixes = let(F.split("stem", "/"), lambda parts: F.transform(
             F.sequence(F.lit(1), F.size(parts)),
-            lambda i: F.array_join(F.slice(F.split(F.col("stem"), "/"), i, F.size(F.split(F.col("stem"), "/"))), "/"))
+            lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/")))
     else:
         suffixes = F.transform(
             F.sequence(F.lit(1), F.length("stem")),
             lambda i: F.substring(F.col("stem"), i, F.length("stem")))
     return (
-        narrow.select("module_path", "ext_class", "first", F.explode(suffixes).alias("key"))
+        rows_of(narrow, suffixes, "module_path", "ext_class", "first").withColumnRenamed("item", "key")
         .where(F.col("key") != "")
         .groupBy("module_path", "key", "ext_class")
         .agg(F.min("first").alias("first"))

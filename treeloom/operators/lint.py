@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from treeloom.functions.arrays import rows_of
+
 REPORT = (
     "array<struct<symbol:string,rule:string,ruleName:string,errorCount:bigint,warningCount:bigint,"
     "warnings:array<struct<rule:string>>>>"
@@ -38,11 +40,8 @@ def lint_events(reports: DataFrame) -> DataFrame:
         .when(lang == "javascript", F.concat(
             _counted(F.col("items"), "errorCount", "error"), _counted(F.col("items"), "warningCount", "warning")))
     )
-    return (
-        reports.withColumn("items", items)
-        .select("file_path", "language", F.explode(events).alias("event"))
-        .select("file_path", "language", "event.*")
-    )
+    rows = rows_of(reports.withColumn("items", items), events, "file_path", "language")
+    return rows.select("file_path", "language", "item.*")
 
 
 def lint_stats(events: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ def assemble(files: DataFrame, root: str | None = None) -> DataFrame:
     """Records without analysis from (file_path, content, size) and whatever else is known."""
     df = with_language(with_handler(with_paths(files, root)))
     if "file_type" not in df.columns:
-        df = df.withColumn("file_type", text.file_type(F.encode("content", "UTF-8"), F.col("extension")))
+        df = df.withColumn("file_type", text.text_type(F.col("content"), F.col("extension")))
     if "size" not in df.columns:
         df = df.withColumn("size", text.byte_size(F.col("content")))
     df = df.withColumn("content", F.when(F.col("handler") != "image", F.col("content")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeloom.functions import css, entities, markup, metrics, pycode, script, structured, text
-from treeloom.functions.arrays import with_last_per_key
+from treeloom.functions.arrays import rows_of, with_last_per_key
 from treeloom.operators import analysis, definitions, enrich, graph, lint, records, stats, validate
 from treeloom.sources import corpora, files, tables
 
@@ -23,10 +23,10 @@ def query(fn: Query) -> Query:
 
 def _exploded(df: DataFrame, array, *, names: list[str]) -> DataFrame:
     """One row per array element: file_path, ord, and the element or its fields as `names`."""
-    rows = df.select("file_path", F.posexplode(array).alias("ord", "_e"))
+    rows = rows_of(df, array, "file_path").withColumn("ord", F.col("ord").cast("bigint"))
     if len(names) == 1:
-        return rows.select("file_path", F.col("ord").cast("bigint"), F.col("_e").alias(names[0]))
-    return rows.select("file_path", F.col("ord").cast("bigint"), *[F.col("_e")[n].alias(n) for n in names])
+        return rows.select("file_path", "ord", F.col("item").alias(names[0]))
+    return rows.select("file_path", "ord", *[F.col("item")[n].alias(n) for n in names])
 
 
 # Text files
@@ -143,9 +143,9 @@ def _html(spark, sf_dir):
 
 def _attributes(df: DataFrame, lower: bool) -> DataFrame:
     last = with_last_per_key(df.withColumn("elements", markup.elements(F.col("tokens"), lower)), "elements", "tag")
-    tags = last.select("file_path", F.explode("elements").alias("e"))
-    rows = tags.select("file_path", F.col("e.tag").alias("tag"), F.explode(markup.attributes(F.col("e.raw"), lower)).alias("a"))
-    return rows.select("file_path", "tag", "a.name", "a.value")
+    tags = rows_of(last, "elements", "file_path").select("file_path", "item.*")
+    rows = rows_of(tags, markup.attributes(F.col("raw"), lower), "file_path", "tag")
+    return rows.select("file_path", "tag", "item.name", "item.value")
 
 
 @query
@@ -172,9 +172,9 @@ def css_rules(spark, sf_dir):
 @query
 def css_properties(spark, sf_dir):
     sheets = _html(spark, sf_dir).select("file_path", css.rules(markup.style_text(F.col("tokens"))).alias("rules"))
-    rows = with_last_per_key(sheets, "rules", "selector").select("file_path", F.explode("rules").alias("r"))
-    props = rows.select("file_path", F.col("r.selector").alias("selector"), F.posexplode("r.props").alias("ord", "property"))
-    return props.select("file_path", "selector", F.col("ord").cast("bigint"), "property")
+    last = rows_of(with_last_per_key(sheets, "rules", "selector"), "rules", "file_path").select("file_path", "item.*")
+    return rows_of(last, "props", "file_path", "selector").select(
+        "file_path", "selector", F.col("ord").cast("bigint"), F.col("item").alias("property"))
 
 
 def _xml(spark, sf_dir):
@@ -273,8 +273,8 @@ def language_guess(spark, sf_dir):
 
 @query
 def docstrings(spark, sf_dir):
-    rows = pycode.with_docstrings(_python(spark, sf_dir)).select("file_path", F.explode("docstrings").alias("d"))
-    return rows.select("file_path", "d.name", "d.doc")
+    rows = rows_of(pycode.with_docstrings(_python(spark, sf_dir)), "docstrings", "file_path")
+    return rows.select("file_path", "item.name", "item.doc")
 
 
 @query
@@ -373,7 +373,8 @@ def _imports(spark, sf_dir):
     code = corpora.code_files(spark, sf_dir)
     found = F.when(F.col("language") == "python", pycode.imports(F.col("content"))).otherwise(
         script.imports(F.col("content")))
-    return code.select("file_path", "module_path", "language", F.explode(found).alias("import_statement"))
+    rows = rows_of(code, found, "file_path", "module_path", "language")
+    return rows.drop("ord").withColumnRenamed("item", "import_statement")
 
 
 def _resolved(spark, sf_dir):
