@@ -1,0 +1,214 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from treeloom import schema
+from treeloom.operators import validate
+from treeloom.plans import pipeline, registry
+from treeloom.sources import files, tables
+from treeloom.streaming import ingest
+
+PNG = bytes.fromhex("89504E470D0A1A0A") + b"\x00" * 16
+
+TREE = {
+    "main.py": b'"""Main."""\nimport pkg.util\nfrom os import path\n\n\ndef run(a):\n    # go\n    return util.go(a)\n',
+    "pkg/util.js": b"// util\nimport x from './deep/part';\nfunction go(a) { return a; }\r\n",
+    "pkg/deep/part.ts": b"function part(b) { if (b) { return 1; } }\n",
+    "pkg/page.html": b"<html><body class='c'><!-- n --><h1>Test</h1></body></html>",
+    "pkg/style.css": b"body { color: red; }",
+    "pkg/data.json": b'{"key": "value"}',
+    "pkg/bad.json": b'{"key": value}',
+    "pkg/readme.md": b"# Heading\n",
+    "pkg/conf.yaml": b"key: value\n",
+    "pkg/doc.xml": b"<root><element>value</element></root>",
+    "pkg/logo.png": PNG,
+    "pkg/manual.pdf": b"%PDF-1.4 \x00",
+    "pkg/blob.bin": b"\x00\x01",
+    "pkg/latin.py": b"x = '\xe9'\n",
+    "pkg/notes": b"Plain notes by Ada Lovelace.\n",
+    "pkg/empty.txt": b"",
+    "pkg/__init__.py": b"",
+    "pkg/.gitignore": b"*.pyc\n",
+    "pkg/_private/.hidden/x.py": b"import pkg.util\n",
+    "pkg/with space & more.txt": b"This is a plain text file.",
+}
+
+
+@pytest.fixture(scope="module")
+def root(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("tree")
+    for name, data in TREE.items():
+        path = folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(data)
+    return str(folder)
+
+
+def test_listing_and_skips(spark, root):
+    assert sorted(r.file_path for r in files.listing(spark, root).collect()) == sorted(TREE)
+    rows = {r.file_path: r for r in files.read_records(spark, root).collect()}
+    assert set(rows) == set(TREE)
+    assert {p: r.skip_reason for p, r in rows.items() if r.skip_reason} == {
+        "pkg/bad.json": "unparsable", "pkg/blob.bin": "binary", "pkg/latin.py": "undecodable"}
+    assert (rows["main.py"].module_path, rows["pkg/deep/part.ts"].module_path) == (".", "pkg/deep")
+    assert rows["pkg/util.js"].content.endswith("}\n") and "\r" not in rows["pkg/util.js"].content
+    image = rows["pkg/logo.png"]
+    assert (image.language, image.content, image.metadata.loc, image.metadata.size, image.file_type) == (
+        "image", None, None, len(PNG), "image/png")
+    assert rows["pkg/notes"].language == "unknown" and rows["pkg/notes"].metadata.loc == 2
+    assert rows["pkg/empty.txt"].metadata.loc == 1
+    assert rows["pkg/manual.pdf"].content is None
+
+
+def test_large_files_are_listed_not_read(spark, root):
+    rows = {r.file_path: r for r in files.read_records(spark, root, max_bytes=60).collect()}
+    assert set(rows) == set(TREE)
+    assert rows["main.py"].skip_reason == "too_large" and rows["main.py"].content is None
+
+
+def test_image_scan(spark, root):
+    images = files.image_records(spark, root)
+    assert [(r.file_path, r.language, r.metadata.size) for r in images.collect()] == [("pkg/logo.png", "image", len(PNG))]
+
+
+def test_files_that_go_and_links_that_loop(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub/a.py").write_text("x = 1\n")
+    (tmp_path / "gone.py").write_text("x = 2\n")
+    (tmp_path / "sub/loop").symlink_to(tmp_path)
+    (tmp_path / "link.py").symlink_to(tmp_path / "sub/a.py")
+    found = files.listing(spark, str(tmp_path))
+    assert sorted(r.file_path for r in found.collect()) == ["gone.py", "link.py", "sub/a.py"]
+    (tmp_path / "gone.py").unlink()
+    assert {(r.file_path, bytes(r.data)) for r in files.read_bytes(spark, str(tmp_path), found).collect()} == {
+        ("link.py", b"x = 1\n"), ("sub/a.py", b"x = 1\n")}
+
+
+@pytest.fixture(scope="module")
+def result(spark, root, tmp_path_factory):
+    out = tmp_path_factory.mktemp("out")
+    links = out / "links.csv"
+    links.write_text("File,Documentation\nmain.py,old\npkg/util.js,u\nmain.py,new\n")
+    reports = spark.createDataFrame(
+        [("main.py", '[{"symbol": "unused"}]'), ("pkg/util.js", '[{"errorCount": 1, "warningCount": 2}]')],
+        "file_path string, report string")
+    def once():
+        return pipeline.run(spark, root, str(out / "run"), doc_links_csv=str(links), cache_path=str(out / "cache"), lint_reports=reports)
+    return once(), once, out
+
+
+def test_run(spark, result):
+    tables_, _, out = result
+    rows = {r.file_path: r for r in tables_["records"].collect()}
+    assert set(rows) == set(TREE) - {"pkg/bad.json", "pkg/blob.bin", "pkg/latin.py"}
+    main = rows["main.py"].analysis
+    assert [(f.name, f.params, f.calls) for f in main.functions] == [("run", ["a"], ["go"])]
+    assert (main.classes, main.imports, main.docstrings, main.comments) == ([], ["pkg.util", "os"], {"module": "Main."}, ["# go"])
+    assert (main.complexity, main.function_count, round(main.comment_density, 4)) == (1, 1, round(1 / 9, 4))
+    assert rows["main.py"].documentation == "new" and rows["pkg/style.css"].documentation is None
+    assert rows["pkg/page.html"].analysis.tags == ["html", "body", "h1"]
+    assert rows["pkg/page.html"].analysis.attributes["body"] == {"class": "c"}
+    assert rows["pkg/style.css"].analysis.rules == ["body"] and rows["pkg/style.css"].analysis.properties == {"body": ["color"]}
+    assert [h.text for h in rows["pkg/readme.md"].analysis.headings] == ["Heading"]
+    assert rows["pkg/doc.xml"].analysis.tags == ["root", "element"]
+    assert [e.text for e in rows["pkg/notes"].analysis.entities] == ["Ada Lovelace"]
+    assert json.loads(rows["pkg/data.json"].data.toJson()) == {"key": "value"}
+    assert json.loads(rows["pkg/conf.yaml"].data.toJson()) == {"key": "value"}
+    assert rows["pkg/logo.png"].analysis.entities == []
+
+
+def test_tables(result):
+    tables_, *_ = result
+    def got(name):
+        return {tuple(r) for r in tables_[name].collect()}
+    assert got("dependency_edges") == {
+        ("main.py", "pkg/util.js"), ("pkg/util.js", "pkg/deep/part.ts"), ("pkg/_private/.hidden/x.py", "pkg/util.js")}
+    assert tables_["dependency_nodes"].count() == len(TREE) - 3
+    assert got("call_graph") == {("run", "go")}
+    assert got("lint_stats") == {("unused", 1), ("error", 1), ("warning", 2)}
+    assert {r.import_statement for r in tables_["unresolved_imports"].collect()} == {"os"}
+    assert {r.skip_reason for r in tables_["skipped"].collect()} == {"binary", "undecodable", "unparsable"}
+    totals = [r for r in tables_["codebase_stats"].collect() if r.scope == "total"]
+    assert totals[0].files == len(TREE)
+
+
+def test_jsonl_output_is_valid(spark, result):
+    tables_, _, out = result
+    path = str(out / "run/jsonl")
+    assert tables.jsonl_is_valid(spark, path)
+    checked = validate.schema_check(spark.read.text(path))
+    assert checked.count() == tables_["records"].count()
+    assert checked.where(F.size("violations") > 0).select("value", "violations").collect() == []
+    back = tables.read_jsonl(spark, path, "file_path string, language string, module_path string")
+    assert back.where("file_path = 'pkg/deep/part.ts'").first().module_path == "pkg/deep"
+
+
+def test_second_run_takes_analyses_from_the_cache(spark, result):
+    first, once, out = result
+    before = {r.file_path: r.analysis for r in first["records"].collect()}
+    cache = tables.read_cache(spark, str(out / "cache"))
+    changed = cache.withColumn("analysis", F.col("analysis").withField("comments", F.array(F.lit("cached"))))
+    tables.write_cache(changed, str(out / "cache"))
+    again = {r.file_path: r.analysis for r in once()["records"].collect()}
+    assert set(again) == set(before)
+    assert again["main.py"].comments == ["cached"] and again["main.py"].functions == before["main.py"].functions
+    # Null content is never taken from the cache.
+    assert again["pkg/logo.png"].comments is None
+
+
+def test_registered_extractor(spark):
+    rows = spark.createDataFrame([("a.zz", "zz", "text", "body")], "file_path string, handler string, language string, content string")
+    rows = rows.withColumn("metadata", F.lit(None).cast(schema.METADATA))
+    def extract(records):
+        return records.select("*", F.lit(None).cast(schema.ANALYSIS).alias("analysis"), F.parse_json(F.lit("1")).alias("data"))
+    registry.register_extractor("zz", extract)
+    try:
+        got = pipeline.analysed(rows, spark.createDataFrame([], schema.CACHE)).collect()
+    finally:
+        registry.unregister_extractor("zz")
+    assert [(r.file_path, r.analysis, r.data.toJson()) for r in got] == [("a.zz", None, "1")]
+
+
+def test_jsonl_verification(spark, tmp_path):
+    (tmp_path / "good.jsonl").write_text('{"key": "value"}\n[1]\n')
+    (tmp_path / "bad.jsonl").write_text('{"key": value}\n\n{"a": 1}\n')
+    (tmp_path / "empty.jsonl").write_text("")
+    rows = {r.file.rsplit("/", 1)[1]: (r.lines, r.bad_lines, r.valid) for r in tables.verify_jsonl(spark, str(tmp_path)).collect()}
+    assert rows == {"good.jsonl": (2, 0, True), "bad.jsonl": (3, 2, False)}
+    assert tables.jsonl_is_valid(spark, str(tmp_path / "good.jsonl"))
+    assert not tables.jsonl_is_valid(spark, str(tmp_path / "bad.jsonl"))
+    assert tables.jsonl_is_valid(spark, str(tmp_path / "empty.jsonl"))
+    assert tables.jsonl_is_valid(spark, str(tmp_path / "none.jsonl"))
+
+
+def test_cache_files(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    assert tables.read_cache(spark, path).count() == 0
+    entry = "file_path string, content string, o int"
+    rows = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), ("b", None, 1)], entry).withColumn(
+        "analysis", F.lit(None).cast(schema.ANALYSIS))
+    tables.write_cache(tables.cache_entries(rows, F.col("o")), path)
+    got = {r.file_path: r.hash for r in tables.read_cache(spark, path).collect()}
+    assert got == {"a": "c81e728d9d4c2f636f067f89cc14862c", "b": None}
+    tables.write_cache(tables.read_cache(spark, path).where("file_path = 'a'"), path)
+    assert [r.file_path for r in tables.read_cache(spark, path).collect()] == ["a"]
+    (tmp_path / "old.json").write_text('{"file1.py": {"hash": "abc123"}}')
+    assert [(r.file_path, r.hash) for r in tables.import_cache(spark, str(tmp_path / "old.json")).collect()] == [("file1.py", "abc123")]
+
+
+def test_doc_links(spark, tmp_path):
+    assert tables.read_doc_links(spark, str(tmp_path / "none.csv")).count() == 0
+    (tmp_path / "l.csv").write_text("File,Documentation\n" + "".join(f"f{i % 50},d{i}\n" for i in range(500)))
+    got = {r.File: r.Documentation for r in tables.read_doc_links(spark, str(tmp_path / "l.csv")).collect()}
+    assert got == {f"f{i}": f"d{450 + i}" for i in range(50)}
+
+
+def test_stream(spark, root, tmp_path):
+    out, checkpoint = str(tmp_path / "records"), str(tmp_path / "checkpoint")
+    for _ in range(2):
+        ingest.append_records(ingest.stream_records(spark, root), out, checkpoint).awaitTermination(120)
+    rows = spark.read.parquet(out)
+    batch = files.read_records(spark, root)
+    assert rows.count() == len([p for p, data in TREE.items() if data and not any(s[0] in "._" for s in p.split("/"))])
+    assert rows.select(batch.columns).exceptAll(batch).count() == 0

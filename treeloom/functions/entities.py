@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from treeloom.functions.arrays import let, rows_of
+
 # (label, pattern), first match wins.
 PATTERNS = [
     ("EMAIL", r"(?<![\w.+-])[\w.+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"),
@@ -32,3 +34,22 @@ def entities(text: Column, patterns: list[tuple[str, str]] | None = None) -> Col
         F.transform(found, lambda t: F.struct(t.alias("text"), label(t).alias("label"))),
         F.array().cast("array<struct<text:string,label:string>>"),
     )
+
+
+def gazetteer_entities(texts: DataFrame, terms: DataFrame, words: int | None = None) -> DataFrame:
+    """Occurrences of listed terms in (file_path, content): (file_path, pos, text, label).
+
+    `terms` has (term, label) with unique lower-case terms of at most `words` words, which is read
+    from the terms if not given. Every run of words of a text is looked up. The join is left to
+    the planner, which broadcasts the terms when they are small.
+    """
+    if words is None:
+        words = terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
+    tokens = F.regexp_extract_all("content", F.lit(r"[\p{L}\p{N}]++"), 0)
+    grams = let(tokens, lambda w: F.flatten(F.transform(F.sequence(F.lit(1), F.lit(words)), lambda n: F.filter(
+        F.transform(w, lambda t, i: F.when(i + n <= F.size(w), F.struct(
+            i.alias("pos"), F.array_join(F.slice(w, i + 1, n), " ").alias("text")))),
+        lambda g: g.isNotNull()))))
+    runs = rows_of(texts, grams, "file_path").select("file_path", "item.*")
+    runs = runs.withColumn("term", F.lower("text"))
+    return runs.join(terms, "term").select("file_path", "pos", "text", "label")

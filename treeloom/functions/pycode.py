@@ -50,7 +50,7 @@ def _parens(depth: int, atom: str) -> str:
 _RAW_SIGNATURE = _parens(3, rf"(?:[^()\"'#]++|{STRING}|#[^\n]*+)")
 _SIGNATURE = _parens(3, r"[^()]")
 
-_DECORATOR = r"(?:@[^\n]*[ \t])?"
+_DECORATOR = r"(?:@[^\n]*?[ \t])?"
 HEAD = rf"^[ \t]*{_DECORATOR}(async[ \t]+)?(def|class)[ \t]+(\w+)"
 UNIT = (
     rf"(?m)^[ \t]*{_DECORATOR}(?:async[ \t]+)?(?:def|class)[ \t]+\w+[ \t]*(?:{_SIGNATURE})?[^\n]*"
@@ -96,7 +96,7 @@ def bracket_change(line: Column) -> Column:
 
 def calls(line: Column) -> Column:
     """Callee names in a masked line: the last identifier before `(`."""
-    body = F.regexp_replace(line, r"\b(?:def|class)[ \t]+\w+", " ")
+    body = F.regexp_replace(line, r"\b(?:def|class)[ \t]+\w+", ";")
     names = F.regexp_extract_all(body, F.lit(r"(?:(?<!\w)(\w++)|[)\]\"'])\s*+\("), 1)
     names = F.filter(names, lambda n: ~n.isin(KEYWORDS))
     return F.transform(names, lambda n: F.when(n == "", F.lit("unknown_function")).otherwise(n))

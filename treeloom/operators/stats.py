@@ -22,21 +22,23 @@ def codebase_stats(records: DataFrame) -> DataFrame:
         F.sum(F.when(full, loc)).alias("full_loc"),
         F.sum(F.when(full, size)).alias("full_size"),
     )
+    added = [F.sum(c).alias(c) for c in ("n", "loc", "size", "full_n", "full_loc", "full_size")]
+    # The total is an aggregate of its own, because it has a row even for an empty corpus.
+    total = sums.agg(*added).select(
+        F.lit("total").alias("scope"), F.lit(None).cast("string").alias("key"),
+        *[F.coalesce(c, F.lit(0)).alias(name) for c, name in (("n", "files"), ("loc", "loc"), ("size", "size"))])
     sets = sums.groupingSets(
-        [[], [F.col("language")], [F.col("module_path")]], F.col("language"), F.col("module_path")
-    ).agg(
-        F.grouping_id().alias("g"),
-        *[F.sum(c).alias(c) for c in ("n", "loc", "size", "full_n", "full_loc", "full_size")],
-    )
-    # grouping_id: 3 = total, 1 = by language, 2 = by module
-    by_language, by_module = F.col("g") == 1, F.col("g") == 2
-    return sets.where(~by_language | (F.col("full_n") > 0)).select(
-        F.when(by_language, "language").when(by_module, "module").otherwise("total").alias("scope"),
-        F.when(by_language, F.col("language")).when(by_module, F.col("module_path")).alias("key"),
+        [[F.col("language")], [F.col("module_path")]], F.col("language"), F.col("module_path")
+    ).agg(F.grouping("module_path").alias("by_language"), *added)
+    by_language = F.col("by_language") == 1
+    groups = sets.where(~by_language | (F.col("full_n") > 0)).select(
+        F.when(by_language, "language").otherwise("module").alias("scope"),
+        F.when(by_language, F.col("language")).otherwise(F.col("module_path")).alias("key"),
         F.when(by_language, F.col("full_n")).otherwise(F.col("n")).alias("files"),
-        F.when(by_language, F.col("full_loc")).when(~by_module, F.coalesce("loc", F.lit(0))).alias("loc"),
-        F.when(by_language, F.col("full_size")).when(~by_module, F.coalesce("size", F.lit(0))).alias("size"),
+        F.when(by_language, F.col("full_loc")).alias("loc"),
+        F.when(by_language, F.col("full_size")).alias("size"),
     )
+    return total.unionByName(groups)
 
 
 def skipped_files(records: DataFrame) -> DataFrame:

@@ -37,6 +37,12 @@ def first_failure(path: Column, language: Column, content: Column, size: Column,
     )
 
 
+def complete() -> Column:
+    """Whether a typed record has all that the record schema requires."""
+    return F.col("file_path").isNotNull() & F.col("language").isNotNull() & F.col("analysis").isNotNull() & F.col(
+        "metadata.size").isNotNull()
+
+
 def validated(records: DataFrame) -> DataFrame:
     """Adds `first_failure` and `analysis_warning` to typed records. Their types are given by the
     frame, so the schema check is left with what must be present."""

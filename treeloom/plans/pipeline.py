@@ -1,0 +1,119 @@
+"""The whole run: file tree in, records, graphs and statistics out."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from treeloom import dims, schema
+from treeloom.functions.arrays import rows_of
+from treeloom.operators import analysis, enrich, graph, lint, stats, validate
+from treeloom.plans import registry
+from treeloom.session import materialize
+from treeloom.sources import files, tables
+
+
+def imports_of(records: DataFrame) -> DataFrame:
+    """(file_path, module_path, language, import_statement) of analysed records."""
+    rows = rows_of(records, "analysis.imports", "file_path", "module_path", "language")
+    return rows.drop("ord").withColumnRenamed("item", "import_statement")
+
+
+def call_edges_of(records: DataFrame) -> DataFrame:
+    """(file_path, caller, callee) of analysed Python records, each once."""
+    callers = F.concat(
+        F.coalesce("analysis.functions", F.array().cast(schema.ANALYSIS_FIELDS["functions"])),
+        F.flatten(F.coalesce("analysis.classes.methods", F.array().cast(f"array<{schema.ANALYSIS_FIELDS['functions']}>"))))
+    rows = rows_of(records.where(F.col("handler") == "python"), callers, "file_path").select("file_path", "item.*")
+    edges = rows_of(rows, "calls", "file_path", F.col("name").alias("caller"))
+    return edges.select("file_path", "caller", F.col("item").alias("callee")).distinct()
+
+
+def json_line(columns: list[str]) -> Column:
+    """A record as one line of JSON. Absent fields are left out, but `content` is always there."""
+    fields = F.struct(*[F.col(f"analysis.{n}").alias(n) for n in schema.ANALYSIS_FIELDS], F.col("data"))
+    extra = ["documentation"] if "documentation" in columns else []
+    line = F.to_json(F.struct("content", "file_path", "language", fields.alias("analysis"), "metadata", "module_path", *extra))
+    return F.when(F.col("content").isNull(), F.regexp_replace(line, r"^\{", '{"content":null,')).otherwise(line)
+
+
+def write_records(records: DataFrame, out: str) -> None:
+    """Appends records as JSON Lines, one folder per module. The rebalance splits a module that
+    holds a large share of the rows over several files."""
+    lines = records.select("module_path", json_line(records.columns).alias("value"))
+    lines.hint("rebalance", "module_path").write.mode("append").partitionBy("module_path").text(out)
+
+
+def analysed(found: DataFrame, cache: DataFrame, patterns: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Records with analysis: from the cache where path and content agree, else computed."""
+    delta = enrich.cache_delta(found, cache)
+    own = registry.extractors()
+    fresh = analysis.analyse(delta.where(~F.col("handler").isin(list(own))) if own else delta, patterns)
+    for handler, extract in own.items():
+        fresh = fresh.unionByName(extract(delta.where(F.col("handler") == handler)).select(fresh.columns))
+    known = enrich.with_cache(found, cache, ["analysis", "data"]).where("from_cache").drop("from_cache")
+    return fresh.unionByName(known.select(fresh.columns))
+
+
+def run(
+    spark: SparkSession,
+    root: str,
+    out: str,
+    *,
+    doc_links_csv: str | None = None,
+    cache_path: str | None = None,
+    lint_reports: DataFrame | None = None,
+    patterns: list[tuple[str, str]] | None = None,
+    max_bytes: int = files.MAX_BYTES,
+) -> dict[str, DataFrame]:
+    """Reads the tree under `root` and writes below `out`: `records` (typed), `jsonl`, `skipped`,
+    `dependency_nodes`, `dependency_edges`, `unresolved_imports`, `call_graph`, `lint_stats` and
+    `codebase_stats`. Returns the written tables by name.
+
+    Files are read once; the staged records are laid out by handler, so that the analysis of one
+    handler scans only its own files.
+    """
+    staged = materialize(files.read_records(spark, root, max_bytes=max_bytes), "staged", ["handler"])
+    skipped = staged.where(F.col("skip_reason").isNotNull()).drop("content")
+    found = staged.where(F.col("skip_reason").isNull()).drop("skip_reason")
+    if lint_reports is not None:
+        reports = lint_reports.select("file_path", F.try_parse_json("report").alias("lint_results"))
+        found = found.join(reports, "file_path", "left")
+
+    cache = tables.read_cache(spark, cache_path) if cache_path else spark.createDataFrame([], schema.CACHE)
+    records = analysed(found, cache, patterns).drop("lint_results")
+    # Handlers that check their record keep it only if it has what the record schema asks for.
+    checked = F.col("handler").isin(dims.CHECKED_HANDLERS)
+    records = records.withColumn("skip_reason", F.when(checked & ~validate.complete(), F.lit("invalid")))
+    if doc_links_csv:
+        records = enrich.with_documentation(records, tables.read_doc_links(spark, doc_links_csv))
+    records.write.mode("overwrite").parquet(f"{out}/records")
+    everything = spark.read.schema(records.schema).parquet(f"{out}/records")
+    records = everything.where(F.col("skip_reason").isNull()).drop("skip_reason")
+    skipped = skipped.unionByName(everything.where(F.col("skip_reason").isNotNull()).select(skipped.columns))
+    write_records(records, f"{out}/jsonl")
+
+    resolved = graph.resolve_imports(imports_of(records), records)
+    resolved = materialize(resolved, "imports")
+    lint_counts = spark.createDataFrame([], "violation string, n bigint")
+    if lint_reports is not None:
+        languages = records.select("file_path", "language")
+        lint_counts = lint.lint_stats(lint.lint_events(
+            lint_reports.select("file_path", "report").join(languages, "file_path")))
+    no_record = skipped.withColumn("metadata", F.lit(None).cast(schema.METADATA))
+    totals = ["language", "module_path", "metadata"]
+    results = {
+        "skipped": skipped.select("file_path", "module_path", "skip_reason"),
+        "dependency_nodes": graph.dependency_nodes(records),
+        "dependency_edges": graph.dependency_edges(resolved),
+        "unresolved_imports": graph.unresolved(resolved),
+        "call_graph": graph.call_graph(call_edges_of(records)),
+        "lint_stats": lint_counts,
+        "codebase_stats": stats.codebase_stats(records.select(totals).unionByName(no_record.select(totals))),
+    }
+    for name, frame in results.items():
+        frame.write.mode("overwrite").parquet(f"{out}/{name}")
+    if cache_path:
+        tables.write_cache(tables.cache_entries(records), cache_path)
+    written = {name: spark.read.parquet(f"{out}/{name}") for name in results}
+    return {"records": records, **written}

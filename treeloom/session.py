@@ -33,8 +33,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="treeloom-")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends at the written table."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/treeloom-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

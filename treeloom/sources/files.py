@@ -1,17 +1,36 @@
-"""File trees as frames of files."""
+"""File trees as frames of files.
+
+Spark's own file sources leave out files whose name starts with `_` or `.` (every `__init__.py`)
+and empty files, and keep the whole list of files on the driver. So the tree is listed by tasks,
+one level of folders per job, into a table; and files are read by the tasks that hold their rows.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import os
+import re
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from treeloom import dims
 from treeloom.functions import text
 from treeloom.operators import records
+from treeloom.session import materialize
 
 # A cell holds less than 2 GiB; larger files are listed as skipped and never read.
 MAX_BYTES = 2_000_000_000
 
+_BATCH_ROWS = 10_000
+_BATCH_BYTES = 64 << 20
+_TASK_BYTES = 128 << 20
+
+Batches = Iterator[pa.RecordBatch]
+
 
 def _qualified(spark: SparkSession, root: str) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
@@ -19,44 +38,96 @@ def _qualified(spark: SparkSession, root: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def _scan(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    prefix = _qualified(spark, root).rstrip("/") + "/"
-    return reader.load(root).withColumn(
-        "file_path", F.when(F.startswith("path", F.lit(prefix)), F.substr("path", F.lit(len(prefix) + 1)))
-        .otherwise(F.col("path")))
-
-
-def listing(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].strip("/")
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri).rstrip("/"))
+
+
+def _lister(uri: str) -> Callable[[Batches], Batches]:
+    def entries(batches: Batches) -> Batches:
+        fs, base = _filesystem(uri)
+        local = isinstance(fs, pafs.LocalFileSystem)
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                found = fs.get_file_info(pafs.FileSelector(f"{base}/{folder}", allow_not_found=True))
+                for start in range(0, len(found), _BATCH_ROWS):
+                    part = [
+                        i for i in found[start:start + _BATCH_ROWS]
+                        if i.type == pafs.FileType.File
+                        # Links to folders are not followed, so a tree never loops.
+                        or (i.type == pafs.FileType.Directory and not (local and os.path.islink(i.path)))]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([i.path[len(base) + 1:] for i in part], pa.string()),
+                        pa.array([i.type == pafs.FileType.Directory for i in part], pa.bool_()),
+                        pa.array([i.size for i in part], pa.int64()),
+                    ], ["path", "is_folder", "size"])
+    return entries
+
+
+def listing(spark: SparkSession, root: str) -> DataFrame:
     """Every regular file under `root` once: (file_path, size). No file is opened."""
-    return _scan(spark, root, glob).select("file_path", F.col("length").alias("size"))
-
-
-def raw_files(spark: SparkSession, root: str, glob: str | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Files under `root` with their bytes: (file_path, size, data). The size limit reaches the scan."""
-    return _scan(spark, root, glob).where(F.col("length") <= max_bytes).select(
-        "file_path", F.col("length").alias("size"), F.col("content").alias("data"))
+    lister = _lister(_qualified(spark, root))
+    spread = 4 * spark.sparkContext.defaultParallelism
+    folders = spark.createDataFrame([("",)], "path string")
+    levels = []
+    while not levels or not folders.isEmpty():
+        found = folders.mapInArrow(lister, "path string, is_folder boolean, size bigint")
+        level = materialize(found, "listing")
+        levels.append(level.where(~F.col("is_folder")).select(F.col("path").alias("file_path"), "size"))
+        folders = level.where("is_folder").select("path").repartition(spread, "path")
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _reader(uri: str) -> Callable[[Batches], Batches]:
+    def contents(batches: Batches) -> Batches:
+        fs, base = _filesystem(uri)
+
+        def flush(rows: list[tuple]) -> pa.RecordBatch:
+            paths, sizes, data = zip(*rows)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(data, pa.binary())],
+                ["file_path", "size", "data"])
+
+        for batch in batches:
+            rows, held = [], 0
+            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    with fs.open_input_stream(f"{base}/{path}") as stream:
+                        data = stream.read()
+                except FileNotFoundError:
+                    continue
+                except OSError:
+                    data = None
+                if rows and held + len(data or b"") > _BATCH_BYTES:
+                    yield flush(rows)
+                    rows, held = [], 0
+                rows.append((path, size, data))
+                held += len(data or b"")
+            if rows:
+                yield flush(rows)
+    return contents
+
+
+def read_bytes(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
+    """(file_path, size) -> adds `data`. A file that has gone gives no row, one that cannot be read
+    gives null."""
+    total = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    tasks = max(spark.sparkContext.defaultParallelism, total.bytes // _TASK_BYTES, total.n // _BATCH_ROWS)
+    return files.repartition(int(tasks), "file_path").mapInArrow(
+        _reader(_qualified(spark, root)), "file_path string, size bigint, data binary")
 
 
 def typed(files: DataFrame) -> DataFrame:
     """(file_path, size, data) -> adds file_type and is_text, and turns data into content, which is
     null for binary and undecodable files."""
     ext = text.extension(F.col("file_path"))
-    mime = text.file_type(F.col("data"), ext)
-    known = files.withColumn("file_type", mime)
+    known = files.withColumn("file_type", text.file_type(F.col("data"), ext))
     known = known.withColumn("is_text", text.is_text(F.col("file_type"), ext, F.col("data")))
     return known.withColumn(
         "content", F.when(F.col("is_text"), text.decoded(F.col("data")))).drop("data")
 
 
-def read_records(spark: SparkSession, root: str, glob: str | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Records without analysis for every file under `root`; files that give no record carry a
-    `skip_reason` and no content."""
-    return to_records(raw_files(spark, root, glob, max_bytes)).unionByName(too_large(spark, root, glob, max_bytes))
-
-
 def to_records(raw: DataFrame) -> DataFrame:
     """(file_path, size, data) -> records with `skip_reason`. One pass over rows, no shuffle, so it
     takes a stream of files as well."""
@@ -65,17 +136,27 @@ def to_records(raw: DataFrame) -> DataFrame:
     return records.assemble(files.drop("file_name", "extension", "module_path", "handler", "ext_language"))
 
 
-def too_large(spark: SparkSession, root: str, glob: str | None, max_bytes: int) -> DataFrame:
-    files = _scan(spark, root, glob).where(F.col("length") > max_bytes).select(
-        "file_path", F.col("length").alias("size"),
-        F.lit(None).cast("string").alias("content"), F.lit(None).cast("string").alias("file_type"),
-        F.lit("too_large").alias("skip_reason"))
-    return records.assemble(files)
+def _unread(files: DataFrame, reason: Column) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    return records.assemble(files.withColumns({"content": nothing, "file_type": nothing, "skip_reason": reason}))
+
+
+def read_records(spark: SparkSession, root: str, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Records without analysis for every file under `root`; files that give no record carry a
+    `skip_reason` and no content."""
+    files = listing(spark, root)
+    read = to_records(read_bytes(spark, root, files.where(F.col("size") <= max_bytes)))
+    return read.unionByName(_unread(files.where(F.col("size") > max_bytes), F.lit("too_large")))
 
 
 def image_records(spark: SparkSession, root: str) -> DataFrame:
-    """Image files by name, size only: the scan does not read their bytes."""
-    names = ",".join(ext[1:] for ext, handler in dims.HANDLERS.items() if handler == "image")
-    files = listing(spark, root, f"*.{{{names}}}").withColumns({
-        "content": F.lit(None).cast("string"), "file_type": F.lit(None).cast("string")})
-    return records.assemble(files)
+    """Image files by name, size only: no file is opened."""
+    names = [ext for ext, handler in dims.HANDLERS.items() if handler == "image"]
+    images = listing(spark, root).where(text.extension(F.col("file_path")).isin(names))
+    return _unread(images, F.lit(None).cast("string"))
+
+
+def relative(spark: SparkSession, root: str) -> Column:
+    """The `path` of Spark's file sources relative to `root`."""
+    prefix = _qualified(spark, root).rstrip("/") + "/"
+    return F.when(F.startswith("path", F.lit(prefix)), F.substr("path", F.lit(len(prefix) + 1))).otherwise(F.col("path"))

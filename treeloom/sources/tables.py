@@ -14,15 +14,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def write_jsonl(records: DataFrame, out: str) -> None:
-    """Appends records as JSON Lines, one folder per module. The rebalance splits a module that
-    holds a large share of the rows over several files."""
-    (
-        records.hint("rebalance", "module_path")
-        .write.mode("append").partitionBy("module_path").json(out)
-    )
-
-
 def read_jsonl(spark: SparkSession, out: str, columns: str) -> DataFrame:
     return spark.read.schema(columns).json(out)
 
