@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from treeloom import schema
-from treeloom.operators import validate
-from treeloom.plans import pipeline, registry
+from treeloom.operators import records, validate
+from treeloom.plans import full_run, registry
 from treeloom.sources import files, tables
 from treeloom.streaming import ingest
 
@@ -94,7 +94,7 @@ def result(spark, root, tmp_path_factory):
         [("main.py", '[{"symbol": "unused"}]'), ("pkg/util.js", '[{"errorCount": 1, "warningCount": 2}]')],
         "file_path string, report string")
     def once():
-        return pipeline.run(spark, root, str(out / "run"), doc_links_csv=str(links), cache_path=str(out / "cache"), lint_reports=reports)
+        return full_run.run(spark, root, str(out / "run"), doc_links_csv=str(links), cache_path=str(out / "cache"), lint_reports=reports)
     return once(), once, out
 
 
@@ -164,7 +164,7 @@ def test_registered_extractor(spark):
         return records.select("*", F.lit(None).cast(schema.ANALYSIS).alias("analysis"), F.parse_json(F.lit("1")).alias("data"))
     registry.register_extractor("zz", extract)
     try:
-        got = pipeline.analysed(rows, spark.createDataFrame([], schema.CACHE)).collect()
+        got = full_run.analysed(rows, spark.createDataFrame([], schema.CACHE)).collect()
     finally:
         registry.unregister_extractor("zz")
     assert [(r.file_path, r.analysis, r.data.toJson()) for r in got] == [("a.zz", None, "1")]
@@ -212,3 +212,9 @@ def test_stream(spark, root, tmp_path):
     batch = files.read_records(spark, root)
     assert rows.count() == len([p for p, data in TREE.items() if data and not any(s[0] in "._" for s in p.split("/"))])
     assert rows.select(batch.columns).exceptAll(batch).count() == 0
+
+
+def test_merge_keeps_the_later_record_of_a_path(spark):
+    parts = [spark.createDataFrame(rows, "file_path string, language string") for rows in (
+        [("a", "x"), ("b", "x")], [("b", "y"), ("c", "y")], [("a", None)])]
+    assert sorted(map(tuple, records.merge(parts).collect()), key=str) == [("a", None), ("b", "y"), ("c", "y")]

@@ -15,7 +15,7 @@ _BLANKS = " \t\r\n\x0c"
 def rules(content: Column) -> Column:
     """Style rules as (selector, pos, props) in order, those inside `@media` included. Other
     at-rules are left out. `props` has each name once, in the order of last use."""
-    sheet = F.regexp_replace(content, rf"({_STRING})|/\*(?s:.*?)\*/", "$1")
+    sheet = F.regexp_replace(content, rf"({_STRING})|/\*(?s:.*?)(?:\*/|\z)", "$1")
     sheet = F.regexp_replace(sheet, _KEYFRAMES, "")
     # The second branch eats text that starts no rule, which keeps the scan linear.
     found = F.filter(F.regexp_extract_all(sheet, F.lit(rf"{_RULE}|{_TEXT}++"), 0),

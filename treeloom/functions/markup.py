@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INSIDE = r"(?:[^'\">]++|\"[^\"]*+\"|'[^']*+')*+"
-_COMMENT = r"<!--(?s:.*?)-->"
-_START = rf"<[a-zA-Z]{_INSIDE}>|<[a-zA-Z][^>]*+>"
+# What is not closed ends at the next tag or at the end of the text, which keeps scans linear.
+_INSIDE = r"(?:[^'\"<>]++|\"[^\"]*+\"|'[^']*+')*+"
+_COMMENT = r"<!--(?s:.*?)(?:-->|\z)"
+_START = rf"<[a-zA-Z]{_INSIDE}>|<[a-zA-Z][^<>]*+>"
 
 
 def _raw(tag: str) -> str:
@@ -15,7 +16,7 @@ def _raw(tag: str) -> str:
 
 
 _HTML_TOKEN = rf"{_COMMENT}|{_raw('script')}|{_raw('style')}|{_START}"
-_XML_TOKEN = rf"{_COMMENT}|<!\[CDATA\[(?s:.*?)\]\]>|<\?(?s:.*?)\?>|{_START}"
+_XML_TOKEN = rf"{_COMMENT}|<!\[CDATA\[(?s:.*?)(?:\]\]>|\z)|<\?(?s:.*?)(?:\?>|\z)|{_START}"
 _ATTRIBUTE = r"(?<![^\s\"'/])([^\s=/>\"']++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?"
 
 
@@ -44,7 +45,7 @@ def tags(tokens: Column, lower: bool = True) -> Column:
 
 def comments(tokens: Column) -> Column:
     found = F.filter(tokens, lambda t: F.startswith(t, F.lit("<!--")))
-    return F.transform(found, lambda t: F.substring(t, F.lit(5), F.length(t) - 7))
+    return F.transform(found, lambda t: F.regexp_replace(t, r"^<!--|-->$", ""))
 
 
 def style_text(tokens: Column) -> Column:

@@ -11,7 +11,7 @@ from treeloom.functions.pycode import BLANKS
 STRING = (
     r"(?:\"(?:[^\"\\\n]++|\\(?s:.))*+\"|'(?:[^'\\\n]++|\\(?s:.))*+'|`(?:[^`\\]++|\\(?s:.))*+`)"
 )
-COMMENT = r"(?:/\*(?s:.*?)\*/|//[^\n]*+)"
+COMMENT = r"(?:/\*(?s:.*?)(?:\*/|\z)|//[^\n]*+)"
 
 _PARAMS = r"\((?:[^()]|\((?:[^()]|\([^()]*+\))*+\))*+\)"
 _FUNCTION = (

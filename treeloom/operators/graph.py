@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,12 +61,16 @@ def targets(files: DataFrame, boundary: bool = True) -> DataFrame:
     )
 
 
-def resolve_imports(imports: DataFrame, files: DataFrame, boundary: bool = True) -> DataFrame:
+def resolve_imports(
+    imports: DataFrame, files: DataFrame, boundary: bool = True,
+    stage: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
+) -> DataFrame:
     """Adds `resolved`: the first file of the importer's own module the import names, else the
     first of all modules, else null.
 
     `imports` needs (file_path, module_path, import_statement), `files` (file_path, module_path)
-    and optionally (module_ord, file_ord); without those, path order decides.
+    and optionally (module_ord, file_ord); without those, path order decides. `stage` may write
+    the two frames that are read more than once, the distinct questions and the targets.
     """
     ext = text.extension(F.col("file_path"))
     asked = salted(imports.where(F.col("import_statement").isNotNull()).select(
@@ -73,11 +79,11 @@ def resolve_imports(imports: DataFrame, files: DataFrame, boundary: bool = True)
         F.when(ext.isin(dims.IMPORT_EXTENSIONS), F.lit(_LISTED)).otherwise(ext).alias("own"),
     ), ["file_path"])
     classes = F.explode(F.array_distinct(F.array(F.lit(_LISTED), "own"))).alias("ext_class")
-    in_module = targets(files, boundary)
+    in_module = stage(targets(files, boundary), "targets")
     overall = in_module.groupBy("key", "ext_class").agg(F.min("first").alias("first"))
 
     # Each distinct question is answered once, however many files ask it.
-    here = salted(questions(asked, ["module_path", "key", "own"]), ["module_path"])
+    here = stage(salted(questions(asked, ["module_path", "key", "own"]), ["module_path"]), "questions")
     local = (
         here.select("module_path", "key", "own", classes)
         .join(in_module, ["module_path", "key", "ext_class"])

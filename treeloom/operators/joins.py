@@ -5,8 +5,9 @@
     answers = ...                        # asked with answer columns, still one row per key
     rows = attach(rows, answers, on)
 
-The rows of one key go to up to `SALTS` tasks. An answer is copied only to the salts its key
-really has, so there are never more copies than rows.
+The rows of one key go to up to a third of the shuffle partitions, so that a key with a third of
+all rows gets a third of the tasks. An answer is copied only to the salts its key really has, so
+there are never more copies than rows.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+MIN_SALTS = 16
 
 
 def salted(rows: DataFrame, spread: list[str]) -> DataFrame:
-    return rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    """Adds a salt, taken from the hash of the `spread` columns."""
+    salts = max(MIN_SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 3)
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
 
 
 def questions(rows: DataFrame, on: list[str]) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from treeloom import dims
 from treeloom.functions import text
+from treeloom.operators.enrich import last_per_path
 
 
 def with_paths(files: DataFrame, root: str | None = None) -> DataFrame:
@@ -64,3 +67,9 @@ def skip_reason(is_text: Column) -> Column:
         .when((handler == "json") & F.try_parse_json(content).isNull(), F.lit("unparsable"))
         .when(F.coalesce(F.col("module_path"), F.lit("")) == "", F.lit("no_module"))
     )
+
+
+def merge(parts: list[DataFrame]) -> DataFrame:
+    """One record per path from several scans, that of the later scan where paths repeat."""
+    numbered = [part.withColumn("_scan", F.lit(i)) for i, part in enumerate(parts)]
+    return last_per_path(reduce(DataFrame.unionByName, numbered), "file_path", "_scan").drop("_scan")

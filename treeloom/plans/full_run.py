@@ -93,7 +93,7 @@ def run(
     skipped = skipped.unionByName(everything.where(F.col("skip_reason").isNotNull()).select(skipped.columns))
     write_records(records, f"{out}/jsonl")
 
-    resolved = graph.resolve_imports(imports_of(records), records)
+    resolved = graph.resolve_imports(imports_of(records), records, stage=materialize)
     resolved = materialize(resolved, "imports")
     lint_counts = spark.createDataFrame([], "violation string, n bigint")
     if lint_reports is not None:

@@ -175,6 +175,9 @@ ORACLES = {
     "text_records": f"""
       SELECT file_path, concat(doc_id, '.txt') AS file_name, '.txt' AS extension, source AS module_path, 'text' AS handler,
         lang AS language, 'text/plain' AS file_type, content, {_LOC} AS loc, strlen(content) AS size, md5(content) AS md5_hash FROM {TEXT}""",
+    "merged_records": f"""
+      SELECT file_path, CASE WHEN doc_id % 4 = 0 THEN 'text' ELSE lang END AS language,
+        CASE WHEN doc_id % 4 = 0 THEN md5(content || '!') ELSE md5(content) END AS md5_hash FROM {TEXT}""",
     "entity_rows": f"SELECT file_path, ord, text, {LABEL} AS label FROM (" + listed(TEXT, f"regexp_extract_all(content, '{ENTITY}')", "text") + ")",
     "validate_records": f"""
       SELECT doc_id, CASE WHEN doc_id % 7 = 1 THEN 'path' WHEN doc_id % 7 = 2 AND lang NOT IN ({', '.join(f"'{x}'" for x in dims.RECORD_LANGUAGES)}) THEN 'language'

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from treeloom.functions import css, entities, markup, metrics, pycode, script, structured, text
 from treeloom.functions.arrays import rows_of, with_last_per_key
 from treeloom.operators import analysis, definitions, enrich, graph, lint, records, stats, validate
+from treeloom.session import materialize
 from treeloom.sources import corpora, files, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,15 @@ def text_records(spark, sf_dir):
         F.col("metadata.md5_hash").alias("md5_hash"))
 
 
+@query
+def merged_records(spark, sf_dir):
+    """Two scans of the text files, the second of every fourth file under another language."""
+    first = corpora.text_files(spark, sf_dir).select("file_path", "language", F.md5("content").alias("md5_hash"))
+    again = corpora.text_files(spark, sf_dir).where(F.col("doc_id") % 4 == 0).select(
+        "file_path", F.lit("text").alias("language"), F.md5(F.concat("content", F.lit("!"))).alias("md5_hash"))
+    return records.merge([first, again])
+
+
 @query
 def entity_rows(spark, sf_dir):
     return _exploded(corpora.text_files(spark, sf_dir), entities.entities(F.col("content")), names=["text", "label"])
@@ -339,8 +349,9 @@ def js_comments(spark, sf_dir):
 
 
 def _metrics(spark, sf_dir):
-    rows = analysis.analyse(records.assemble(corpora.code_files(spark, sf_dir)))
-    return rows.select("file_path", "language", "content", "analysis.*", "metadata.*")
+    # Laid out by handler, so that each branch of the analysis reads its own files only.
+    staged = materialize(records.assemble(corpora.code_files(spark, sf_dir)), "records", ["handler"])
+    return analysis.analyse(staged).select("file_path", "language", "content", "analysis.*", "metadata.*")
 
 
 @query
@@ -369,35 +380,35 @@ def file_records(spark, sf_dir):
         "function_count", F.round("comment_density", 6).alias("comment_density"))
 
 
-def _imports(spark, sf_dir):
-    code = corpora.code_files(spark, sf_dir)
+def _resolved(spark, sf_dir, known=lambda files: files):
+    """Every import of the code base, resolved against the `known` ones of its files. The files
+    and their imports are extracted once; resolution looks at them several times."""
     found = F.when(F.col("language") == "python", pycode.imports(F.col("content"))).otherwise(
         script.imports(F.col("content")))
-    rows = rows_of(code, found, "file_path", "module_path", "language")
-    return rows.drop("ord").withColumnRenamed("item", "import_statement")
+    code = materialize(corpora.code_files(spark, sf_dir).select(
+        "file_path", "module_path", "language", found.alias("imports")), "imports")
+    rows = rows_of(code, "imports", "file_path", "module_path", "language").drop("ord")
+    return graph.resolve_imports(rows.withColumnRenamed("item", "import_statement"), known(code.drop("imports")), stage=materialize)
 
 
-def _resolved(spark, sf_dir):
-    """Every import of the code base, against its Python and TypeScript files: what names a
-    JavaScript file stays open."""
-    known = corpora.code_files(spark, sf_dir).where(F.col("language") != "javascript")
-    return graph.resolve_imports(_imports(spark, sf_dir), known)
+def _without_javascript(files):
+    """Leaves imports of JavaScript files unresolved."""
+    return files.where(F.col("language") != "javascript")
 
 
 @query
 def import_resolution(spark, sf_dir):
-    return _resolved(spark, sf_dir).select("file_path", "import_statement", "resolved")
+    return _resolved(spark, sf_dir, _without_javascript).select("file_path", "import_statement", "resolved")
 
 
 @query
 def unresolved_imports(spark, sf_dir):
-    return graph.unresolved(_resolved(spark, sf_dir)).select("file_path", "import_statement")
+    return graph.unresolved(_resolved(spark, sf_dir, _without_javascript)).select("file_path", "import_statement")
 
 
 @query
 def dependency_graph(spark, sf_dir):
-    code = corpora.code_files(spark, sf_dir)
-    return graph.dependency_edges(graph.resolve_imports(_imports(spark, sf_dir), code))
+    return graph.dependency_edges(_resolved(spark, sf_dir))
 
 
 @query
