@@ -147,21 +147,20 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = edges.join(src, "src").join(dst, "dst").select(
         "src", F.floor(F.col("dst") / IMPORT_RANGE).alias("chunk"), line.alias("line"))
-    chunks = lines.groupBy("src", "chunk").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("imports"))
+    # Every part has a first file, with or without imports.
+    first = part.select(F.col("k").alias("src"), F.lit(0).cast("bigint").alias("chunk"), F.lit(None).cast("string").alias("line"))
+    chunks = lines.unionByName(first).groupBy("src", "chunk").agg(F.collect_list("line").alias("lines"))
+    imports = F.when(F.size("lines") > 0, F.array_join(F.array_sort("lines"), "\n"))
 
+    is_main = F.col("chunk") == 0
     cols = {"k": F.col("k").cast("string"), "name": F.col("p_name"), "brand": F.col("p_brand"),
             "type": F.col("p_type"), "imports": F.col("imports")}
-    main = part.join(chunks.where(F.col("chunk") == 0), F.col("k") == F.col("src"), "left").withColumns({
-        "suffix": F.lit(""),
-        "content": F.when(F.col("ext") == "py", _python_text(cols)).otherwise(_script_text(cols))})
-    more = part.join(chunks.where(F.col("chunk") > 0), F.col("k") == F.col("src")).withColumns({
-        "suffix": F.concat(F.lit("_"), "chunk"), "content": F.col("imports")})
-    files = main.unionByName(more)
+    files = chunks.select("src", "chunk", imports.alias("imports")).join(part, F.col("k") == F.col("src"))
     return files.select(
         F.col("m").alias("module_path"),
-        F.concat("m", F.lit("/part"), "k", "suffix", F.lit("."), "ext").alias("file_path"),
+        F.concat("m", F.lit("/part"), "k", F.when(is_main, "").otherwise(F.concat(F.lit("_"), "chunk")), F.lit("."), "ext").alias("file_path"),
         F.when(F.col("ext") == "py", "python").when(F.col("ext") == "js", "javascript").otherwise("typescript").alias("language"),
-        "content",
+        F.when(~is_main, F.col("imports")).when(F.col("ext") == "py", _python_text(cols)).otherwise(_script_text(cols)).alias("content"),
     )
 
 
