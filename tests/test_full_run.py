@@ -159,12 +159,14 @@ def test_second_run_takes_analyses_from_the_cache(spark, result):
 
 def test_registered_extractor(spark):
     rows = spark.createDataFrame([("a.zz", "zz", "text", "body")], "file_path string, handler string, language string, content string")
-    rows = rows.withColumn("metadata", F.lit(None).cast(schema.METADATA))
+    rows = rows.withColumns({
+        "metadata": F.lit(None).cast(schema.METADATA), "analysis": F.lit(None).cast(schema.ANALYSIS),
+        "data": F.lit(None).cast("variant"), "from_cache": F.lit(False)})
     def extract(records):
         return records.select("*", F.lit(None).cast(schema.ANALYSIS).alias("analysis"), F.parse_json(F.lit("1")).alias("data"))
     registry.register_extractor("zz", extract)
     try:
-        got = full_run.analysed(rows, spark.createDataFrame([], schema.CACHE)).collect()
+        got = full_run.analysed(rows).collect()
     finally:
         registry.unregister_extractor("zz")
     assert [(r.file_path, r.analysis, r.data.toJson()) for r in got] == [("a.zz", None, "1")]

@@ -9,19 +9,21 @@ from pyspark.sql import functions as F
 def with_cache(records: DataFrame, cache: DataFrame, fields: list[str]) -> DataFrame:
     """Takes `fields` from the cache where path and content hash agree, and adds `from_cache`.
 
-    Both sides have one row per path, so the join key is never hot. Null content matches nothing.
+    Both sides have one row per path, so the join key is never hot. The join is on the path alone:
+    records that are joined by path with other tables as well are exchanged once for all of them.
+    Null content matches nothing.
     """
-    hit = cache.where(F.col("hash").isNotNull()).select(
-        "file_path", "hash", F.lit(True).alias("from_cache"), *[F.col(f).alias(f"cached_{f}") for f in fields])
-    joined = records.withColumn("hash", F.md5("content")).join(hit, ["file_path", "hash"], "left")
-    keep = [c for c in records.columns if c not in fields]
+    known = cache.select(
+        "file_path", F.col("hash").alias("_hash"), *[F.col(f).alias(f"_cached_{f}") for f in fields])
+    joined = records.join(known, "file_path", "left")
+    hit = F.coalesce(F.col("_hash") == F.md5("content"), F.lit(False))
+    joined = joined.withColumn("from_cache", hit)
     # A cached analysis replaces the fresh one even where a field of it is null.
-    taken = [
-        (F.when(F.col("from_cache"), F.col(f"cached_{f}")).otherwise(F.col(f)) if f in records.columns
-         else F.col(f"cached_{f}")).alias(f)
-        for f in fields
-    ]
-    return joined.select(*keep, *taken, F.coalesce("from_cache", F.lit(False)).alias("from_cache"))
+    taken = []
+    for f in fields:
+        cached = F.when(F.col("from_cache"), F.col(f"_cached_{f}"))
+        taken.append((cached.otherwise(F.col(f)) if f in records.columns else cached).alias(f))
+    return joined.select(*[c for c in records.columns if c not in fields], *taken, "from_cache")
 
 
 def cache_delta(records: DataFrame, cache: DataFrame) -> DataFrame:

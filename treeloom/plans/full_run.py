@@ -44,15 +44,14 @@ def write_records(records: DataFrame, out: str) -> None:
     lines.hint("rebalance", "module_path").write.mode("append").partitionBy("module_path").text(out)
 
 
-def analysed(found: DataFrame, cache: DataFrame, patterns: list[tuple[str, str]] | None = None) -> DataFrame:
-    """Records with analysis: from the cache where path and content agree, else computed."""
-    delta = enrich.cache_delta(found, cache)
+def analysed(records: DataFrame, patterns: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Records with analysis, computed for those that are not `from_cache`."""
+    delta = records.where(~F.col("from_cache")).drop("analysis", "data", "from_cache")
     own = registry.extractors()
     fresh = analysis.analyse(delta.where(~F.col("handler").isin(list(own))) if own else delta, patterns)
     for handler, extract in own.items():
         fresh = fresh.unionByName(extract(delta.where(F.col("handler") == handler)).select(fresh.columns))
-    known = enrich.with_cache(found, cache, ["analysis", "data"]).where("from_cache").drop("from_cache")
-    return fresh.unionByName(known.select(fresh.columns))
+    return fresh.unionByName(records.where("from_cache").select(fresh.columns))
 
 
 def run(
@@ -70,27 +69,31 @@ def run(
     `dependency_nodes`, `dependency_edges`, `unresolved_imports`, `call_graph`, `lint_stats` and
     `codebase_stats`. Returns the written tables by name.
 
-    Files are read once; the staged records are laid out by handler, so that the analysis of one
-    handler scans only its own files.
+    `lint_reports` has one row (file_path, report) per file, the report being a JSON array.
+
+    Files are read once. What is known by path, the cache, lint reports and documentation links, is
+    joined in one go before anything is analysed; the staged records are laid out so that the
+    analysis scans only files of its handler that have changed.
     """
-    staged = materialize(files.read_records(spark, root, max_bytes=max_bytes), "staged", ["handler"])
+    cache = tables.read_cache(spark, cache_path) if cache_path else spark.createDataFrame([], schema.CACHE)
+    staged = enrich.with_cache(files.read_records(spark, root, max_bytes=max_bytes), cache, ["analysis", "data"])
+    if lint_reports is not None:
+        staged = staged.join(
+            lint_reports.select("file_path", F.try_parse_json("report").alias("lint_results")), "file_path", "left")
+    if doc_links_csv:
+        staged = enrich.with_documentation(staged, tables.read_doc_links(spark, doc_links_csv))
+    staged = materialize(staged, "staged", ["handler", "from_cache"])
     skipped = staged.where(F.col("skip_reason").isNotNull()).drop("content")
     found = staged.where(F.col("skip_reason").isNull()).drop("skip_reason")
-    if lint_reports is not None:
-        reports = lint_reports.select("file_path", F.try_parse_json("report").alias("lint_results"))
-        found = found.join(reports, "file_path", "left")
-
-    cache = tables.read_cache(spark, cache_path) if cache_path else spark.createDataFrame([], schema.CACHE)
-    records = analysed(found, cache, patterns).drop("lint_results")
+    records = analysed(found, patterns).drop("lint_results")
     # Handlers that check their record keep it only if it has what the record schema asks for.
     checked = F.col("handler").isin(dims.CHECKED_HANDLERS)
     records = records.withColumn("skip_reason", F.when(checked & ~validate.complete(), F.lit("invalid")))
-    if doc_links_csv:
-        records = enrich.with_documentation(records, tables.read_doc_links(spark, doc_links_csv))
     records.write.mode("overwrite").parquet(f"{out}/records")
     everything = spark.read.schema(records.schema).parquet(f"{out}/records")
     records = everything.where(F.col("skip_reason").isNull()).drop("skip_reason")
-    skipped = skipped.unionByName(everything.where(F.col("skip_reason").isNotNull()).select(skipped.columns))
+    reasons = ["file_path", "module_path", "language", "skip_reason"]
+    skipped = skipped.select(reasons).unionByName(everything.where(F.col("skip_reason").isNotNull()).select(reasons))
     write_records(records, f"{out}/jsonl")
 
     resolved = graph.resolve_imports(imports_of(records), records, stage=materialize)
