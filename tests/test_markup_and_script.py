@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from treeloom.functions import css, entities, markup, metrics, script, structured
@@ -52,6 +54,24 @@ def test_javascript(one):
     assert one("function f(a) { return a ? b : c || d?.e; }", script.complexity(C())) == 3
 
 
+def test_import_forms(one):
+    code = ("import{a}from'min';import { from } from \"rxjs\";\nimport * as n from 'ns'; import type {T} from './t'\n"
+            "const p = import('dyn'); imports from 'no'; import d, {e as f} from 'both';")
+    assert one(code, script.imports(C())) == ["min", "rxjs", "ns", "./t", "both"]
+
+
+def test_broken_text_is_scanned_in_linear_time(one):
+    start = time.monotonic()
+    many = 20_000
+    one("import a b c function " * many + "/* x " * many + "\n" * many, F.size(script.imports(C())))
+    one("import a b c function " * many + "/* x " * many + "\n" * many, F.size(script.functions(C())))
+    one("<a<a<a " * many + "<!--" * many, F.size(markup.html_tokens(C())))
+    one("x y z " * many + "/* a " * many, F.size(css.rules(C())))
+    one("a" * 10 * many + "@" * many, F.size(entities.entities(C())))
+    one("[" * many + "# " * many + "```\n", F.size(structured.links(C())))
+    assert time.monotonic() - start < 60
+
+
 def test_typescript_fixture(one):
     assert one("let x = 10;", script.functions(C())) == []
     assert [(f.name, f.params) for f in one("function f<T>(a: Map<string, T>, b?: number): T {}", script.functions(C()))][0][0] == "f"

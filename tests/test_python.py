@@ -1,6 +1,7 @@
 """Python extraction: fixtures, and a differential test against the `ast` module."""
 
 import ast
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +136,15 @@ def test_long_strings_and_brackets_do_not_overflow(one):
     assert one(text, pycode.imports(F.col("content"))) == ["os"]
     assert one("def f(" + ", ".join(f"a{i}" for i in range(5000)) + "): pass",
                F.size(pycode.params(F.col("content")))) == 5000
+
+
+def test_broken_text_is_scanned_in_linear_time(spark):
+    many = 20_000
+    junk = ["def f(\n" * many, "class A(def f(" * many, "@a\n" * many, '"""\n' * (2 * many + 1), "'\n" * many,
+            "x" * many * 10 + "(" * many, "import \n" * many + "from " * many, "# \n" * many + "def f():" + "\n" * many]
+    files = spark.createDataFrame([(str(i), text) for i, text in enumerate(junk)], "file_path string, content string")
+    start = time.monotonic()
+    definitions.definitions(files).count()
+    pycode.with_docstrings(files).select(F.sum(F.size("docstrings"))).collect()
+    files.select(F.sum(F.size(pycode.imports(F.col("content")))), F.sum(pycode.complexity(F.col("content")))).collect()
+    assert time.monotonic() - start < 60

@@ -18,7 +18,9 @@ _FUNCTION = (
     r"(?:^|[;{}\n)]|\bexport\b|\bdefault\b|\basync\b)[ \t]*+function\b\s*+\*?\s*+([\w$]++)\s*+"
     rf"(?:<[^>(]*>)?\s*({_PARAMS})"
 )
-_IMPORT = r"\bimport\s*(?:[\w$\s{},*]*?\bfrom\s*)?[\"']([^\"'\n]+)[\"']"
+# The clause of an import ends at the `from` before its source, or at the next `import`.
+_CLAUSE = r"(?:(?!import\b|from\s*[\"'])[\w$]++|[\s{},*]++)*+from\s*+"
+_IMPORT = rf"\bimport(?=[\s{{*\"'])\s*+(?:{_CLAUSE})?[\"']([^\"'\n]+)[\"']"
 
 DECISIONS = r"\b(?:if|for|while|case|catch)\b|&&|\|\||\?(?![.?:])"
 
