@@ -31,7 +31,10 @@ from treeloom.llm import textarrays as ta
 from treeloom.session import materialize
 
 DEPTH = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
+CHUNK_BYTES = 512 << 10
+#: Distinct keys that a block's counter holds before it merges them.
+HELD_KEYS = 1_000_000
 GROUP_STRINGS = 400_000
 END, PAD = b"\n", b"\n" * DEPTH
 END_WORD = np.uint64(2)  # the end's id among word hashes, whose lowest bit is always 0
@@ -45,7 +48,7 @@ _SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, tr
 def _streams(texts: pa.Array):
     """For chunks of rows: first row, the rows' streams one after another, each with PAD before it, and where each begins."""
     data, offsets = ta.buffers(texts)
-    for a, b in ta.chunks(offsets, 2 << 20):
+    for a, b in ta.chunks(offsets, CHUNK_BYTES):
         raw = data[offsets[a]:offsets[b]].tobytes().translate(ta.LOWER_BYTES)
         off = offsets[a:b + 1] - offsets[a]
         parts = []
@@ -80,7 +83,7 @@ class Counter:
     """Distinct 63-bit keys with their number of training occurrences."""
 
     def __init__(self):
-        self.parts, self.held = [], 0
+        self.parts, self.held, self.most = [], 0, HELD_KEYS
 
     def add(self, keys: np.ndarray, train: np.ndarray) -> None:
         self._put(keys, train.astype(np.int64))
@@ -100,9 +103,10 @@ class Counter:
     def _merge(self, keys, counts) -> None:
         self.parts.append((keys, counts))
         self.held += len(keys)
-        if self.held > 4_000_000 and len(self.parts) > 1:
+        if self.held > self.most and len(self.parts) > 1:
             self.parts = [self.total()]
-            self.held = len(self.parts[0][0]) // 4
+            self.held = len(self.parts[0][0])
+            self.most = max(HELD_KEYS, 2 * self.held)
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
