@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import ctw, html, packing, rules
+from treeloom.llm import ctw, html, packing, rules, setjoin
 
 QUERIES = {}
 
@@ -40,6 +40,11 @@ def op8_risk_controlled_rules(spark, sf_dir):
     return rows.select("doc_id", *[f"stats.{f}" for f in rules.FIELDS[:5]], "base_failed", "kept", "stratum", "failed_rule")
 
 
+@query
+def op9_count_vector_join(spark, sf_dir):
+    return setjoin.join(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_main_text(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", "url", html.extract("html").alias("text"))
