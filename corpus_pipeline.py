@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from treeloom.llm import packing, rules
+from treeloom.llm import decontaminate, lines, packing, rules, setjoin
 from treeloom.session import materialize
 
 
@@ -13,13 +13,29 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without repeated lines; those left without a line go."""
+    return lines.dedupe(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return setjoin.keep_one(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left, packed into sequences."""
     from public_tokenizers import path
     return packing.pack(docs, path("word_bpe_49k.json"))
 
 
-STAGES = [("quality rules", quality_rules), ("packing", packed)]
+STAGES = [("quality rules", quality_rules), ("line dedup", line_dedup), ("n-gram join", near_duplicates),
+          ("decontamination", decontaminated), ("packing", packed)]
 #: The packing's tokenizer is outside SQL.
 ORACLE_SQL = None
 

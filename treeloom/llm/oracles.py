@@ -2,4 +2,28 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_SPACE = r"[\x20\x09-\x0D]+"
+
+
+def _words(column: str) -> str:
+    return f"list_filter(string_split_regex(lower({column}), '{_SPACE}'), lambda x: x <> '')"
+
+
+def _runs(column: str, size: str) -> str:
+    return (f"list_transform(range(0, greatest(0, len({column}) - {size} + 1)), "
+            f"lambda i: array_to_string(list_slice({column}, i + 1, i + {size}), ' '))")
+
+
+ORACLES: dict[str, str] = {
+    "op7_containment_search": f"""
+with item_words as (select item_id, {_words('text')} w from benchmark where text is not null),
+items as (select min(item_id) item_id, w, least(len(w), 5) k from item_words where len(w) > 0 group by w),
+item_shingles as (select distinct item_id, k, unnest({_runs('w', 'k')}) s from items),
+totals as (select item_id, count(*) total from item_shingles group by item_id),
+doc_words as (select doc_id, {_words('text')} w from documents where text is not null),
+doc_shingles as (
+  select distinct doc_id, k, unnest({_runs('w', 'k')}) s from doc_words, (select distinct k from items) z),
+found as (select doc_id, item_id, count(*) shared from doc_shingles join item_shingles using (k, s) group by doc_id, item_id)
+select doc_id, item_id, shared, total, shared / total as containment
+from found join totals using (item_id) where 100 * shared >= 80 * total""",
+}

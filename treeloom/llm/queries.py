@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import ctw, html, lines, packing, rules, setjoin
+from treeloom.llm import ctw, decontaminate, html, lines, packing, rules, setjoin
 
 QUERIES = {}
 
@@ -39,6 +39,12 @@ def op6_context_tree_weighting(spark, sf_dir):
     return ctw.score(table(spark, sf_dir, "documents"), held_out(1))
 
 
+@query
+def op7_containment_search(spark, sf_dir):
+    rows = decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.drop("row").withColumn("containment", F.col("shared") / F.col("total"))
+
+
 @query
 def op8_risk_controlled_rules(spark, sf_dir):
     rows = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
