@@ -45,11 +45,11 @@ def _shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the shingles of lines, each padded to one shingle at least, and where each line begins."""
     padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
     points = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    step = np.uint64(0x9E3779B97F4A7C15)
+    step = 0x9E3779B97F4A7C15
     value, size = points + np.uint64(1), 1
     while size < SHINGLE:  # windows of twice the size
-        value = value[:-size] * step + value[size:]
-        step = step * step
+        value = value[:-size] * np.uint64(step) + value[size:]
+        step = step * step % (1 << 64)
         size *= 2
     lengths = np.array([len(x) for x in padded], np.int64)
     ends = np.cumsum(lengths)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import ctw, decontaminate, html, lines, packing, rules, setjoin
+from treeloom.llm import ctw, decontaminate, html, lines, packing, paragraphs, rules, setjoin
 
 QUERIES = {}
 
@@ -23,6 +23,11 @@ def held_out(remainder: int):
     return F.crc32(F.col("doc_id").cast("string")) % 5 == remainder
 
 
+@query
+def op2_paragraph_minhash(spark, sf_dir):
+    return paragraphs.repeated(table(spark, sf_dir, "documents")).drop("row", "kept_row")
+
+
 @query
 def op4_fuzzy_lines(spark, sf_dir):
     return lines.groups(table(spark, sf_dir, "documents")).drop("row", "kept_row")
