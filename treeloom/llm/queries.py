@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import ctw, decontaminate, html, lines, packing, paragraphs, rules, setjoin
+from treeloom.llm import ctw, decontaminate, html, licences, lines, packing, paragraphs, quality, rules, setjoin
 
 QUERIES = {}
 
@@ -23,11 +23,24 @@ def held_out(remainder: int):
     return F.crc32(F.col("doc_id").cast("string")) % 5 == remainder
 
 
+@query
+def op1_attention_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~held_out(0))
+    return docs.select("doc_id", held_out(0).alias("held_out"), quality.score("text", model).alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 @query
 def op2_paragraph_minhash(spark, sf_dir):
     return paragraphs.repeated(table(spark, sf_dir, "documents")).drop("row", "kept_row")
 
 
+@query
+def op3_licence_paragraphs(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_fuzzy_lines(spark, sf_dir):
     return lines.groups(table(spark, sf_dir, "documents")).drop("row", "kept_row")
