@@ -6,7 +6,8 @@ similarity 0.8 misses with probability (1 - 0.8 ** ROWS) ** BANDS, below 0.001.
 band's smallest line (a star, never all pairs), their coarse components are verified exactly by shingle
 Jaccard (`links.verified`), and the verified links' components keep their first line, by doc_id and
 line number. Equal lines are one class from the start, so a line that a third of all rows repeat is
-hashed into the bands once.
+hashed into the bands once by a task; they are told apart by
+64-bit hashes.
 
 Defined cases: a null or empty text has no lines; lines without a word are left alone; a line shorter
 than a shingle is one shingle; a null doc_id comes first in the order; rows that are equal in doc_id and
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from treeloom.llm import links
@@ -28,9 +29,11 @@ from treeloom.session import materialize
 
 SHINGLE = 8
 BANDS, ROWS = 10, 3
-CHUNK_CHARS = 1 << 19
-#: Documents with candidates up to this number are sent to all tasks; more are joined by a shuffle.
-BROADCAST_DOCS = 200_000
+CHUNK_CHARS = 1 << 18
+#: Lines that a task remembers so as not to hash them again.
+SEEN_LINES = 500_000
+#: Tables of candidates and answers up to this number of rows are sent to all tasks; larger ones are joined by a shuffle.
+BROADCAST_ROWS = 400_000
 
 _random = np.random.RandomState(8)
 _MASKS = _random.randint(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
@@ -73,40 +76,30 @@ def _bands(lines: list[str]) -> np.ndarray:
     return out
 
 
-def _keys(lines: list[bytes]) -> np.ndarray:
-    """Two hashes of each line."""
-    data = np.frombuffer(b"".join(lines), np.uint8)
-    ends = np.cumsum([len(x) for x in lines])
-    one = ta.segments(data, np.concatenate(([0], ends[:-1])), ends)
-    # The second is over the bytes backwards.
-    back = ta.segments(data[::-1], (len(data) - ends)[::-1], (len(data) - np.concatenate(([0], ends[:-1])))[::-1])[::-1]
-    return np.stack([one, ta.mix(back + np.uint64(0x5851F42D4C957F2D))])
-
-
 def _described(batches):
-    names = ["row", "doc_id", "line_no", "key1", "key2", "bands"]
+    """Each line with its hash, and with its bands where the task meets it first."""
+    names = ["row", "doc_id", "line_no", "id", "bands"]
     seen: set[int] = set()
 
     def out(held):
         rows, ids, numbers, lines = zip(*held, strict=True)
-        keys = _keys(list(lines))
-        new = [i for i, k in enumerate(keys[0].tolist()) if not (k in seen or seen.add(k))]
-        bands: list = [None] * len(lines)
-        if new:
-            for i, b in zip(new, _bands([lines[i].decode() for i in new]).view(np.int64), strict=True):
-                bands[i] = b
-        if len(seen) > 1_000_000:
+        ends = np.cumsum([len(x) for x in lines])
+        keys = ta.segments(np.frombuffer(b"".join(lines), np.uint8), np.concatenate(([0], ends[:-1])), ends)
+        new = [i for i, k in enumerate(keys.tolist()) if not (k in seen or seen.add(k))]
+        counts = np.zeros(len(lines), np.int64)
+        counts[new] = BANDS
+        bands = _bands([lines[i].decode() for i in new]).view(np.int64).ravel() if new else np.zeros(0, np.int64)
+        if len(seen) > SEEN_LINES:
             seen.clear()
         return pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()),
-             pa.array(keys[0].view(np.int64)), pa.array(keys[1].view(np.int64)), pa.array(bands, pa.list_(pa.int64()))], names)
+            [pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys.view(np.int64)),
+             pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(bands))], names)
 
     for batch in batches:
         held, size = [], 0
-        for row, doc_id, text in zip(*[c.to_pylist() for c in (batch.column(0), batch.column(1))],
+        for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                      batch.column(2).cast(pa.large_binary()), strict=True):
-            raw = text.as_py() or b""
-            for number, line in enumerate(raw.split(b"\n")):
+            for number, line in enumerate((text.as_py() or b"").split(b"\n")):
                 line = normal(line)
                 if line:
                     held.append((row, doc_id, number, line))
@@ -118,25 +111,49 @@ def _described(batches):
             yield out(held)
 
 
+def _stars(batches):
+    """(u, v): each line of a band and the band's smallest line; all rows of a band are in this task."""
+    parts = [[], []]
+    for batch in batches:
+        for i in range(2):
+            parts[i].append(batch.column(i).to_numpy().copy())
+    if not parts[0]:
+        return
+    band, ids = (np.concatenate(x) for x in parts)
+    order = np.argsort(band, kind="stable")
+    band, ids = band[order], ids[order]
+    edge = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
+    least = np.repeat(np.minimum.reduceat(ids, edge), np.diff(np.append(edge, len(ids))))
+    keep = ids != least
+    yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(least[keep])], ["u", "v"])
+
+
 def _identified(docs: DataFrame, *more) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text", *more)
 
 
 def _members(batches):
     """(coarse, id, set) from (text, wanted), wanted: (line_no, coarse, id) of the lines to take."""
+    def out(held):
+        coarse, ids, lines = zip(*held, strict=True)
+        hashes, first = _shingles(list(lines))
+        sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(coarse, pa.int64()), pa.array(ids, pa.int64()),
+                                           pa.array(sets, pa.list_(pa.int64()))], ["coarse", "id", "set"])
+
     for batch in batches:
-        coarse, ids, lines = [], [], []
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            split = (text or "").encode().split(b"\n")
-            for w in wanted:
-                lines.append(normal(split[w["line_no"]]).decode())
-                coarse.append(w["coarse"])
-                ids.append(w["id"])
-        if lines:
-            hashes, first = _shingles(lines)
-            sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(coarse, pa.int64()), pa.array(ids, pa.int64()),
-                                              pa.array(sets, pa.list_(pa.int64()))], ["coarse", "id", "set"])
+        held, size = [], 0
+        for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
+            split = (text.as_py() or "").encode().split(b"\n")
+            for w in wanted.as_py():
+                line = normal(split[w["line_no"]]).decode()
+                held.append((w["coarse"], w["id"], line))
+                size += len(line)
+                if size > CHUNK_CHARS:
+                    yield out(held)
+                    held, size = [], 0
+        if held:
+            yield out(held)
 
 
 def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
@@ -145,36 +162,35 @@ def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
     row is a hash of doc_id and text, kept_* the line of the group that stays.
     """
     described = materialize(_identified(docs).mapInArrow(
-        _described, "row bigint, doc_id bigint, line_no int, key1 bigint, key2 bigint, bands array<bigint>"), f"{name}-described")
-    classes = described.groupBy("key1", "key2").agg(F.first("bands", ignorenulls=True).alias("bands"))
-    by_band = classes.select(F.col("key1").alias("id"), F.explode("bands").alias("band"))
-    stars = by_band.withColumn("least", F.min("id").over(Window.partitionBy("band"))).where("id <> least")
-    coarse = links.components(stars.select(F.col("id").alias("u"), F.col("least").alias("v")), f"{name}-coarse")
-    wanted = (
-        described.select("row", "line_no", F.col("key1").alias("id")).join(
-            coarse.select(F.col("node").alias("id"), F.col("component").alias("coarse")), "id")
-        .groupBy("id", "coarse").agg(F.min(F.struct("row", "line_no")).alias("at"))
-        .groupBy("at.row").agg(F.collect_list(F.struct("at.line_no", "coarse", "id")).alias("wanted")))
-    wanted = materialize(wanted, f"{name}-wanted")
+        _described, "row bigint, doc_id bigint, line_no int, id bigint, bands array<bigint>"), f"{name}-described")
+    stars = described.select(F.explode("bands").alias("band"), "id").repartition("band").mapInArrow(_stars, "u bigint, v bigint")
+    coarse = links.components(stars, f"{name}-coarse")
+    # A class is all equal lines.
+    classes = materialize(described.groupBy("id").agg(
+        F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("n")), f"{name}-classes")
+    wanted = materialize(
+        classes.join(coarse.select(F.col("node").alias("id"), F.col("component").alias("coarse")), "id")
+        .groupBy("first.row").agg(F.collect_list(F.struct("first.line_no", "coarse", "id")).alias("wanted")), f"{name}-wanted")
     texts = _identified(docs).select("row", "text")
-    if wanted.count() <= BROADCAST_DOCS:
+    if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    else:
-        texts = texts.dropDuplicates(["row"])
     sets = texts.join(wanted, "row").select("text", "wanted").mapInArrow(
         _members, "coarse bigint, id bigint, set array<bigint>").dropDuplicates(["coarse", "id"])
     found = links.components(links.verified(sets), name)
-    lines = described.select("row", "doc_id", "line_no", F.col("key1").alias("id")).distinct()
-    rows = joins.salted(lines, ["row", "line_no"])
-    named = joins.questions(rows, ["id"]).join(found.select(F.col("node").alias("id"), "component"), "id", "left")
-    rows = joins.salted(joins.attach(rows, named, ["id"]).withColumn("group", F.coalesce("component", "id")), ["row", "line_no"])
-    first = rows.groupBy("group").agg(
-        F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("n"),
-        F.collect_set("_salt").alias("_salts")).where("n > 1").drop("n")
-    return joins.attach(rows, first, ["group"]).where("first is not null").select(
+    repeated = classes.join(found.select(F.col("node").alias("id"), "component"), "id", "left").where(
+        "n > 1 or component is not null").withColumn("group", F.coalesce("component", "id"))
+    first = repeated.groupBy("group").agg(F.min("first").alias("first"))
+    answers = materialize(repeated.select("id", "group").join(first, "group").select("id", "first"), f"{name}-answers")
+    lines = described.select("row", "doc_id", "line_no", "id")
+    if answers.count() <= BROADCAST_ROWS:
+        rows = lines.join(F.broadcast(answers), "id")
+    else:
+        rows = joins.salted(lines, ["row", "line_no"])
+        rows = joins.attach(rows, joins.questions(rows, ["id"]).join(answers, "id"), ["id"]).where("first is not null")
+    return rows.select(
         "row", "doc_id", "line_no", F.col("first.row").alias("kept_row"), F.col("first.doc_id").alias("kept_doc_id"),
         F.col("first.line_no").alias("kept_line_no"),
-        ((F.col("row") == F.col("first.row")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept"))
+        ((F.col("row") == F.col("first.row")) & (F.col("line_no") == F.col("first.line_no"))).alias("kept")).distinct()
 
 
 def dedupe(docs: DataFrame, name: str = "lines") -> DataFrame:

@@ -28,7 +28,7 @@ HIDDEN, GATE = 24, 12
 EPOCHS, BAGS, RATE, DECAY = 25, 64, 0.01, 1e-4
 
 _CLASSES = [b" \t", b"\n\r", b"aeiou", b"tnsrhdl", b"bcfgjkmpqvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".",
-            b",", b"!?", b"'\"", b"|", b"#*$%&", b"<>{}[]()=_/\;:"]
+            b",", b"!?", b"'\"", b"|", b"#*$%&", b"<>{}[]()=_/\\;:"]
 N_CLASSES = len(_CLASSES) + 2
 CLASS = np.full(256, len(_CLASSES), np.int64)
 CLASS[128:] = len(_CLASSES) + 1
