@@ -133,27 +133,20 @@ def _identified(docs: DataFrame, *more) -> DataFrame:
 
 
 def _members(batches):
-    """(coarse, id, set) from (text, wanted), wanted: (line_no, coarse, id) of the lines to take."""
-    def out(held):
-        coarse, ids, lines = zip(*held, strict=True)
-        hashes, first = _shingles(list(lines))
-        sets = [np.unique(hashes[a:b]).view(np.int64) for a, b in zip(first[:-1], first[1:], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(coarse, pa.int64()), pa.array(ids, pa.int64()),
-                                           pa.array(sets, pa.list_(pa.int64()))], ["coarse", "id", "set"])
-
+    """(part, id, line) from (text, wanted), wanted: (line_no, part, id) of the lines to take."""
     for batch in batches:
-        held, size = [], 0
+        out = []
         for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
             split = (text.as_py() or "").encode().split(b"\n")
-            for w in wanted.as_py():
-                line = normal(split[w["line_no"]]).decode()
-                held.append((w["coarse"], w["id"], line))
-                size += len(line)
-                if size > CHUNK_CHARS:
-                    yield out(held)
-                    held, size = [], 0
-        if held:
-            yield out(held)
+            out += [(w["part"], w["id"], normal(split[w["line_no"]]).decode()) for w in wanted.as_py()]
+        if out:
+            columns = zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.string()], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["part", "id", "line"])
+
+
+def _sets(column: pa.Array) -> list[np.ndarray]:
+    hashes, first = _shingles(column.to_pylist())
+    return [np.unique(hashes[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
 
 
 def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
@@ -169,14 +162,14 @@ def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
     classes = materialize(described.groupBy("id").agg(
         F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("n")), f"{name}-classes")
     wanted = materialize(
-        classes.join(coarse.select(F.col("node").alias("id"), F.col("component").alias("coarse")), "id")
-        .groupBy("first.row").agg(F.collect_list(F.struct("first.line_no", "coarse", "id")).alias("wanted")), f"{name}-wanted")
+        classes.join(links.parts(coarse.select(F.col("component").alias("coarse"), F.col("node").alias("id"))), "id")
+        .groupBy("first.row").agg(F.collect_list(F.struct("first.line_no", "part", "id")).alias("wanted")), f"{name}-wanted")
     texts = _identified(docs).select("row", "text")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     sets = texts.join(wanted, "row").select("text", "wanted").mapInArrow(
-        _members, "coarse bigint, id bigint, set array<bigint>").dropDuplicates(["coarse", "id"])
-    found = links.components(links.verified(sets), name)
+        _members, "part bigint, id bigint, line string")
+    found = links.components(links.verified(sets, _sets), name)
     repeated = classes.join(found.select(F.col("node").alias("id"), "component"), "id", "left").where(
         "n > 1 or component is not null").withColumn("group", F.coalesce("component", "id"))
     first = repeated.groupBy("group").agg(F.min("first").alias("first"))

@@ -103,6 +103,9 @@ def linked(sets: list[np.ndarray], most: int = 100, least: int = 80) -> list[tup
     size = np.array([len(s) for s in sets], np.int64)
     if n < 2:
         return []
+    if n == 2:
+        shared = len(np.intersect1d(*sets, assume_unique=True))
+        return [(0, 1)] if most * shared >= least * (size[0] + size[1] - shared) and shared else []
     tokens = np.concatenate(sets)
     owner = np.repeat(np.arange(n), size)
     order = np.argsort(tokens, kind="stable")
@@ -148,28 +151,35 @@ def linked(sets: list[np.ndarray], most: int = 100, least: int = 80) -> list[tup
     return out
 
 
-def verified(members: DataFrame) -> DataFrame:
-    """Links (u, v) from members (coarse, id, set): distinct ids, set an array of 64-bit shingles without repeats."""
+def parts(members: DataFrame) -> DataFrame:
+    """(id, part) from members (coarse, id): a part is a group, or a pair of blocks of a group over BLOCK."""
     counts = members.groupBy("coarse").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (
-        members.join(counts, "coarse").withColumn("blocks", blocks).withColumn("own", own)
+    return (
+        members.join(counts, "coarse").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .where("blocks = 1 or own <> other")
-        .select("id", "set", F.xxhash64("coarse", F.least("own", "other"), F.greatest("own", "other")).alias("part")))
+        .select("id", F.xxhash64("coarse", F.least("own", "other"), F.greatest("own", "other")).alias("part")))
 
+
+def sets_of(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a column of arrays of 64-bit shingles without repeats."""
+    offsets, values = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
+    return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
+def verified(members: DataFrame, sets=sets_of) -> DataFrame:
+    """Links (u, v) from members (part, id, content); `sets` makes the sets of some rows' contents."""
     def tasks(batches):
         for batch in whole_runs(batches):
-            ids, offsets = batch.column(1).to_numpy(), np.asarray(batch.column(2).offsets)
-            values = batch.column(2).values.to_numpy().view(np.uint64)
+            ids = batch.column(1).to_numpy()
             for a, b in runs(batch.column(0).to_numpy()):
-                found = linked([values[offsets[i]:offsets[i + 1]] for i in range(a, b)])
+                found = linked(sets(batch.column(2).slice(a, b - a))) if b - a > 1 else []
                 if found:
                     u, v = (ids[[a + x for x in side]] for side in zip(*found, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    return dealt.repartition("part").sortWithinPartitions("part").select("part", "id", "set").mapInArrow(
+    return members.repartition("part").sortWithinPartitions("part").select("part", "id", members.columns[2]).mapInArrow(
         tasks, "u bigint, v bigint")
 
 

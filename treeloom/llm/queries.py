@@ -33,7 +33,7 @@ def op1_attention_quality(spark, sf_dir):
 
 @query
 def op2_paragraph_minhash(spark, sf_dir):
-    return paragraphs.repeated(table(spark, sf_dir, "documents")).drop("row", "kept_row")
+    return paragraphs.repeated(table(spark, sf_dir, "documents"))
 
 
 @query

@@ -165,7 +165,7 @@ def candidates(classes: DataFrame) -> DataFrame:
 # The join
 
 def _members(batches):
-    """(coarse, id, set) from (coarse, id, key1, key2, text), without texts of another class."""
+    """(part, id, set) from (part, id, key1, key2, text), without texts of another class."""
     for batch in batches:
         sets, keep = [], []
         key1, key2 = batch.column(2).to_numpy(), batch.column(3).to_numpy()
@@ -176,7 +176,7 @@ def _members(batches):
                 keep.append(i)
         rows = batch.take(pa.array(keep, pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), rows.column(1), pa.array(sets, pa.list_(pa.int64()))], ["coarse", "id", "set"])
+            [rows.column(0), rows.column(1), pa.array(sets, pa.list_(pa.int64()))], ["part", "id", "set"])
 
 
 def join(docs: DataFrame, name: str = "setjoin") -> DataFrame:
@@ -186,13 +186,13 @@ def join(docs: DataFrame, name: str = "setjoin") -> DataFrame:
         described.where("n > 0 and doc_id is not null").groupBy("key1", "key2", "n")
         .agg(F.min("doc_id").alias("id"), F.first("bottom").alias("bottom"), F.first("vector").alias("vector")), f"{name}-classes")
     coarse = links.components(candidates(classes), f"{name}-coarse")
-    members = coarse.select(F.col("node").alias("id"), F.col("component").alias("coarse")).join(
+    members = links.parts(coarse.select(F.col("component").alias("coarse"), F.col("node").alias("id"))).join(
         classes.select("id", "key1", "key2"), "id")
     if coarse.count() <= BROADCAST_IDS:
         members = F.broadcast(members)
     sets = docs.select(F.col("doc_id").alias("id"), "text").join(members, "id").select(
-        "coarse", "id", "key1", "key2", "text").mapInArrow(_members, "coarse bigint, id bigint, set array<bigint>")
-    found = links.components(links.verified(sets.dropDuplicates(["coarse", "id"])), name)
+        "part", "id", "key1", "key2", "text").mapInArrow(_members, "part bigint, id bigint, set array<bigint>")
+    found = links.components(links.verified(sets), name)
     answer = classes.select("key1", "key2", "n", "id").join(
         found.select(F.col("node").alias("id"), "component"), "id", "left").select(
         "key1", "key2", "n", F.coalesce("component", "id").alias("component_id"))
