@@ -17,6 +17,8 @@ from treeloom.session import materialize
 
 BLOCK = 8192
 POSTINGS = 2_000_000
+#: Links up to this number, 8 MB, are put together by one task.
+FINISH = 500_000
 
 
 class Union:
@@ -40,14 +42,14 @@ class Union:
         return True
 
 
-def _forest(batches):
+def _forest(batches, most: int = 200_000):
     """Replaces the links of a task by (node, smallest node of its part), a row for each node."""
     ids: dict[int, int] = {}
     pairs = []
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             pairs.append((ids.setdefault(a, len(ids)), ids.setdefault(b, len(ids))))
-        if len(pairs) >= 200_000:
+        if len(pairs) >= most:
             yield _stars(ids, pairs)
             ids, pairs = {}, []
     if pairs:
@@ -72,11 +74,14 @@ def components(links: DataFrame, name: str) -> DataFrame:
     """(node, component) for each node of links (u, v), numbers; component is the smallest node reached.
 
     Rounds of large and small stars: each node hands its neighbours to the smallest of them, until all
-    hang on their component's smallest node.
+    hang on their component's smallest node. No more than FINISH links are finished by one task.
     """
     edges = materialize(links.select(F.col("u").cast("bigint"), F.col("v").cast("bigint")).where("u <> v")
                         .mapInArrow(_forest, "u bigint, v bigint").distinct(), f"{name}-links")
     while True:
+        if edges.count() <= FINISH:  # so few that one task joins them
+            large = materialize(edges.coalesce(1).mapInArrow(lambda b: _forest(b, FINISH), "u bigint, v bigint"), f"{name}-last")
+            break
         # Large star: of a node's neighbours, the larger ones go to the smallest of all.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
