@@ -9,7 +9,8 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_DIR
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from treeloom.plans.oracles import ORACLES
+from treeloom.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_flagship(spark):
