@@ -31,7 +31,7 @@ SHINGLE = 8
 BANDS, ROWS = 10, 3
 CHUNK_CHARS = 1 << 18
 #: Lines that a task remembers so as not to hash them again.
-SEEN_LINES = 500_000
+SEEN_LINES = 200_000
 #: Tables of candidates and answers up to this number of rows are sent to all tasks; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 400_000
 
@@ -129,7 +129,7 @@ def _stars(batches):
 
 
 def _identified(docs: DataFrame, *more) -> DataFrame:
-    return docs.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text", *more)
+    return ta.bounded(docs).select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text", *more)
 
 
 def _members(batches):

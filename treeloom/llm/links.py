@@ -44,30 +44,31 @@ class Union:
 
 def _forest(batches, most: int = 200_000):
     """Replaces the links of a task by (node, smallest node of its part), a row for each node."""
-    ids: dict[int, int] = {}
-    pairs = []
+    held, size = [], 0
     for batch in batches:
-        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            pairs.append((ids.setdefault(a, len(ids)), ids.setdefault(b, len(ids))))
-        if len(pairs) >= most:
-            yield _stars(ids, pairs)
-            ids, pairs = {}, []
-    if pairs:
-        yield _stars(ids, pairs)
-
-
-def _stars(ids: dict[int, int], pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    nodes = np.fromiter(ids, np.int64, len(ids))
-    order = np.argsort(nodes, kind="stable")
-    rank = np.empty(len(nodes), np.int64)
-    rank[order] = np.arange(len(nodes))
-    union = Union(len(nodes))
-    for a, b in pairs:
-        union.join(int(rank[a]), int(rank[b]))
-    roots = np.array([union.root(i) for i in range(len(nodes))], np.int64)
-    ascending = nodes[order]
-    keep = roots != np.arange(len(nodes))
-    return pa.RecordBatch.from_arrays([pa.array(ascending[keep]), pa.array(ascending[roots[keep]])], ["u", "v"])
+        held.append([batch.column(i).to_numpy().copy() for i in range(2)])
+        size += batch.num_rows
+        if size >= most:
+            yield _stars(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held, size = [], 0
+    if size:
+        yield _stars(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+
+def _stars(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    nodes, both = np.unique(np.concatenate((u, v)), return_inverse=True)
+    a, b = both[:len(u)], both[len(u):]
+    label = np.arange(len(nodes))
+    while len(a):
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        while not np.array_equal(up := label[label], label):
+            label = up
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
+    keep = label != np.arange(len(nodes))
+    return pa.RecordBatch.from_arrays([pa.array(nodes[keep]), pa.array(nodes[label[keep]])], ["u", "v"])
 
 
 def components(links: DataFrame, name: str) -> DataFrame:

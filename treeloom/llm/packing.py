@@ -16,6 +16,7 @@ other; repeated rows are packed each, in their order within the partition; an em
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ SEQUENCE = 4096
 END = 2
 SHARD_DOCS, SHARD_BYTES = 2048, 16 << 20
 #: Words whose ids a Python worker remembers; more words are tokenized again.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 K1, B = 1.2, 0.75
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
@@ -61,21 +62,22 @@ class Ids:
         new = [s for s in {*split.values(), b".", b","} if s not in self.known]
         for s, e in zip(new, self.tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False),
                         strict=True):
-            self.known[s] = np.array(e.ids, "<u4").tobytes()
+            self.known[s] = array("I", e.ids).tobytes()
         for w in words:
             stem = split[w]
             tail = self.known[stems[w][-1:]] if len(stem) < len(stems[w]) else b""
             self.known[w] = self.known[stem] + tail
 
-    def encode(self, words: list[bytes]) -> bytes:
+    def encode_all(self, texts: list[list[bytes]]) -> list[bytes]:
+        """The ids of texts given by their words."""
+        new = set().union(*texts) - self.known.keys()
+        if new:
+            if len(self.known) > CACHE_WORDS:
+                self.known.clear()
+                new = set().union(*texts)
+            self.learn(list(new))
         known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            if len(known) > CACHE_WORDS:
-                known.clear()
-            self.learn([w for w in set(words) if w not in known])
-            return b"".join([known[w] for w in words])
+        return [b"".join([known[w] for w in words]) for words in texts]
 
 
 class Index:
@@ -180,8 +182,8 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
                 part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 w = ta.words(part, off, lower=True)
                 raw = part.tobytes()
-                for i in range(b - a):
-                    held.append((ids[a + i], ids_of.encode(raw[off[i]:off[i + 1]].split()) + END.to_bytes(4, "little")))
+                found = ids_of.encode_all([raw[off[i]:off[i + 1]].split() for i in range(b - a)])
+                held += [(i, x + END.to_bytes(4, "little")) for i, x in zip(ids[a:b], found, strict=True)]
                 hashes.append(w.hash)
                 rows.append(w.row + (len(held) - (b - a)))
                 size += len(part)
@@ -191,5 +193,5 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
             yield close()
 
     key = F.xxhash64("doc_id", "text")
-    dealt = docs.select("doc_id", "text", "lang").repartitionByRange(F.col("lang"), F.xxhash64("doc_id"))
+    dealt = ta.bounded(docs).select("doc_id", "text", "lang").repartitionByRange(F.col("lang"), F.xxhash64("doc_id"))
     return dealt.sortWithinPartitions("lang", F.xxhash64("doc_id"), key).select("doc_id", "text").mapInArrow(tasks, SCHEMA)

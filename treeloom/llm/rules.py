@@ -167,7 +167,7 @@ def verdicts(stats: DataFrame, cutoffs: DataFrame) -> DataFrame:
 
 
 def _measured(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("stratum", F.coalesce("lang", F.lit(""))).withColumn("stats", statistics("text"))
+    return ta.bounded(docs).withColumn("stratum", F.coalesce("lang", F.lit(""))).withColumn("stats", statistics("text"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -180,6 +180,6 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
     stats = materialize(_measured(docs.select("doc_id", "lang", "text")).drop("text", "lang"), "rule-stats")
     cutoffs = materialize(fit(stats, labels), "rule-cutoffs")
-    wrapped = docs.select(F.struct("*").alias("doc"))
+    wrapped = ta.bounded(docs).select(F.struct("*").alias("doc"))
     rows = wrapped.select("doc", F.coalesce("doc.lang", F.lit("")).alias("stratum"), statistics("doc.text").alias("stats"))
     return verdicts(rows, cutoffs).where("kept").select("doc.*")

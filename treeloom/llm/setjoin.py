@@ -66,7 +66,7 @@ def _described(batches):
 
 def describe(docs: DataFrame) -> DataFrame:
     """doc_id, n (shingles), key1 and key2 (equal for equal sets), bottom (the smallest hashes), vector (group counts)."""
-    return docs.select("doc_id", "text").mapInArrow(
+    return ta.bounded(docs).select("doc_id", "text").mapInArrow(
         _described, "doc_id bigint, n bigint, key1 bigint, key2 bigint, bottom array<bigint>, vector binary")
 
 

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 CHUNK = 1 << 20
 SPACE = np.zeros(256, bool)
@@ -26,6 +27,16 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
+#: Rows that go to Python at a time: texts can be long.
+BATCH_ROWS = "2000"
+
+
+def bounded(docs: DataFrame) -> DataFrame:
+    """The same frame, whose session hands at most BATCH_ROWS rows at a time to Python."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return docs
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
