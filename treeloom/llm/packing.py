@@ -182,6 +182,7 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
                 part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
                 w = ta.words(part, off, lower=True)
                 raw = part.tobytes()
+                raw = raw if b"<|" in raw else raw.lower()  # the tokenizer lowers all but its special tokens
                 found = ids_of.encode_all([raw[off[i]:off[i + 1]].split() for i in range(b - a)])
                 held += [(i, x + END.to_bytes(4, "little")) for i, x in zip(ids[a:b], found, strict=True)]
                 hashes.append(w.hash)
