@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from treeloom import dims
 from treeloom.operators import graph
+from treeloom.sources import corpora
 
 FILES = [
     ("module1", "module1/file1.py", "python", ["module2.util"]),
@@ -95,3 +96,26 @@ def test_null_imports_are_left_out(spark):
     files, _ = frames(spark, FILES)
     imports = spark.createDataFrame([("f.py", "m", None)], "file_path string, module_path string, import_statement string")
     assert graph.resolve_imports(imports, files).count() == 0
+
+
+def test_relative_imports_are_exact(spark):
+    """Each decoy ends with the same names as the file that is meant."""
+    files, imports = frames(spark, [
+        ("a/b", "a/b/x.js", "javascript", ["../c/z", "./q", "./y.js", "./foo.service", "../../../a/c/z", "./."]),
+        ("a/b", "a/b/y.js", "javascript", []),
+        ("a/b", "a/b/foo.service.ts", "typescript", []),
+        ("a/a/c", "a/a/c/z.js", "javascript", []),
+        ("0/a/c", "0/a/c/z.js", "javascript", []),
+        ("a/c", "a/c/z.js", "javascript", []),
+        ("other", "other/q.js", "javascript", []),
+        ("other/a/b", "other/a/b/q.js", "javascript", []),
+    ])
+    for boundary in (True, False):
+        got = {r.import_statement: r.resolved for r in graph.resolve_imports(imports, files, boundary).collect()}
+        assert got == {"../c/z": "a/c/z.js", "./q": None, "./y.js": "a/b/y.js", "./foo.service": "a/b/foo.service.ts",
+                       "../../../a/c/z": None, "./.": None}
+
+
+def test_every_import_of_the_code_corpus(spark):
+    assert corpora.part_imports(spark, "/root/testdata/sf0.01").count() == 16991
+    assert corpora.code_files(spark, "/root/testdata/sf0.01").count() == 2000

@@ -14,18 +14,24 @@ from treeloom.operators.joins import attach, questions, salted
 
 # Class of the extensions every importer tries; others count only for importers that have them.
 _LISTED = "*"
+# Start of a key that names a whole path; no path suffix has it.
+_EXACT = "//"
 
 
 def import_key(statement: Column, module: Column) -> Column:
-    """Path suffix, without extension, that an import asks for. `./` is dropped, `../` is taken
-    from the importer's folder, dots become slashes."""
-    stripped = F.regexp_replace(statement, r"^(?:\./)+|^/+", "")
-    up = F.regexp_extract(stripped, r"^(?:\.\./)+", 0)
+    """What an import asks for: a path suffix without extension, in which dots become slashes, or, for
+    `./` and `../`, _EXACT and the whole path from the root, whose dots stay. A path that leaves the root
+    is null."""
+    here = F.regexp_replace(statement, r"^(?:\./)++", "")
+    up = F.regexp_extract(here, r"^(?:\.\./)+", 0)
     levels = (F.length(up) / 3).cast("int")
-    rest = F.replace(F.substring(stripped, F.length(up) + 1, F.length(stripped)), F.lit("."), F.lit("/"))
-    folders = F.filter(F.split(module, "/"), lambda s: s != ".")
+    rest = F.substring(here, F.length(up) + 1, F.length(here))
+    folders = F.filter(F.split(module, "/"), lambda s: ~s.isin(".", ""))
     base = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - levels, F.lit(0)))
-    return F.when(levels > 0, F.array_join(F.concat(base, F.array(rest)), "/")).otherwise(rest)
+    exact = F.concat(F.lit(_EXACT), F.array_join(F.concat(base, F.array(rest)), "/"))
+    return (
+        F.when(F.rlike(statement, F.lit(r"^\.\.?/")), F.when(levels <= F.size(folders), exact))
+        .otherwise(F.replace(F.regexp_replace(statement, r"^/+", ""), F.lit("."), F.lit("/"))))
 
 
 def _extension_class(ext: Column) -> Column:
@@ -33,8 +39,8 @@ def _extension_class(ext: Column) -> Column:
 
 
 def targets(files: DataFrame, boundary: bool = True) -> DataFrame:
-    """First file of each module for every path suffix. A suffix starts at a folder boundary or,
-    with `boundary=False`, at any character.
+    """First file of each module for every path suffix, and for the whole path with and without its
+    extension. A suffix starts at a folder boundary or, with `boundary=False`, at any character.
 
     Files of equal suffix are reduced before the exchange; pairs of them are never formed.
     """
@@ -53,8 +59,13 @@ def targets(files: DataFrame, boundary: bool = True) -> DataFrame:
         suffixes = F.transform(
             F.sequence(F.lit(1), F.length("stem")),
             lambda i: F.substring(F.col("stem"), i, F.length("stem")))
+    whole = [F.concat(F.lit(_EXACT), F.regexp_replace(p, r"^(?:\./|/)++", "")) for p in (F.col("stem"), F.col("first.file_path"))]
+    # A path given with its extension is found by every importer.
+    keys = F.concat(
+        F.transform(F.concat(suffixes, F.array(whole[0])), lambda k: F.struct(k.alias("key"), F.col("ext_class"))),
+        F.array(F.struct(whole[1].alias("key"), F.lit(_LISTED).alias("ext_class"))))
     return (
-        rows_of(narrow, suffixes, "module_path", "ext_class", "first").withColumnRenamed("item", "key")
+        rows_of(narrow, keys, "module_path", "first").select("module_path", "item.*", "first")
         .where(F.col("key") != "")
         .groupBy("module_path", "key", "ext_class")
         .agg(F.min("first").alias("first"))

@@ -4,7 +4,6 @@ terms: masks, list functions and plain joins instead of the library's expression
 from __future__ import annotations
 
 from treeloom import dims
-from treeloom.sources.corpora import IMPORT_RANGE
 
 NL = "chr(10)"
 
@@ -31,30 +30,28 @@ CODE = f"""
 f AS (
   SELECT p_partkey AS k, p_name, p_brand, p_type, concat('mod', p_size) AS m,
     CASE p_partkey % 4 WHEN 2 THEN 'js' WHEN 3 THEN 'ts' ELSE 'py' END AS ext FROM part),
-lead AS (SELECT l_orderkey, min(l_partkey) AS src FROM lineitem WHERE l_linenumber = 1 GROUP BY l_orderkey),
-e AS (SELECT DISTINCT src, l_partkey AS dst FROM lineitem JOIN lead USING (l_orderkey) WHERE l_partkey > src),
+e AS (SELECT DISTINCT a.l_partkey AS src, b.l_partkey AS dst FROM lineitem a JOIN lineitem b
+  ON a.l_orderkey = b.l_orderkey AND a.l_partkey < b.l_partkey AND a.l_linenumber = 1),
 i AS (
-  SELECT src, chunk, string_agg(line, {NL} ORDER BY line) AS imports FROM (
-    SELECT e.src, e.dst // {IMPORT_RANGE} AS chunk,
+  SELECT src, string_agg(line, {NL} ORDER BY line) AS imports FROM (
+    SELECT e.src,
       CASE WHEN s.ext <> 'py' THEN concat('import x from ', chr(39), t.m, '/part', t.k, chr(39), ';')
            WHEN t.k % 2 = 0 THEN concat('import ', t.m, '.part', t.k)
            ELSE concat('from ', t.m, '.part', t.k, ' import build') END AS line
-    FROM e JOIN f s ON s.k = e.src JOIN f t ON t.k = e.dst) GROUP BY src, chunk),
+    FROM e JOIN f s ON s.k = e.src JOIN f t ON t.k = e.dst) GROUP BY src),
 code AS (
-  SELECT k, TRUE AS main, m AS module_path, concat(m, '/part', k, '.', ext) AS file_path, ext,
+  SELECT k, m AS module_path, concat(m, '/part', k, '.', ext) AS file_path, ext,
     CASE ext WHEN 'py' THEN 'python' WHEN 'js' THEN 'javascript' ELSE 'typescript' END AS language,
     CASE WHEN ext = 'py' THEN concat_ws({NL},
-      concat('\"""', p_name, ' module\"""'), imports, concat('# ', p_brand), concat('class Part', k, '(Base):'),
+      concat('\"""', p_name, ' module\"""'), imports, concat('from absent.part', k, ' import build'), concat('# ', p_brand), concat('class Part', k, '(Base):'),
       concat('    \"""', p_type, '\"""'), '    def size(self, scale=1):',
       '        return scale_by(self.raw(), scale)', 'def build(a, b):', '    \"""Build.\"""',
       concat('    # build ', p_brand), '    if a:', concat('        return Part', k, '(a).size(b)'), '    return merge(a, b)')
-    ELSE concat_ws({NL}, concat('// ', p_brand), imports, concat('/* ', p_type, ' */'), 'function build(a, b) {{',
+    ELSE concat_ws({NL}, concat('// ', p_brand), imports,
+      concat('import x from ', chr(39), './part', k + 1, chr(39), ';'), concat('import x from ', chr(39), '../', m, '/part', k, chr(39), ';'),
+      concat('import x from ', chr(39), 'absent/part', k, chr(39), ';'), concat('/* ', p_type, ' */'), 'function build(a, b) {{',
       '  if (a) {{ return merge(a, b); }}', '  return a.size(b);', '}}') END AS content
-  FROM f LEFT JOIN i ON i.src = f.k AND i.chunk = 0
-  UNION ALL
-  SELECT k, FALSE, m, concat(m, '/part', k, '_', chunk, '.', ext), ext,
-    CASE ext WHEN 'py' THEN 'python' WHEN 'js' THEN 'javascript' ELSE 'typescript' END, imports
-  FROM f JOIN i ON i.src = f.k AND i.chunk > 0)
+  FROM f LEFT JOIN i ON i.src = f.k)
 """.replace('\\"', '"')
 
 
@@ -130,8 +127,8 @@ def _schema_check() -> str:
            WHEN violations <> '' THEN 'schema' END AS first_failure FROM c"""
 
 
-def _resolution(known: str) -> str:
-    """Brute force: every import against every file it may name."""
+def _resolution() -> str:
+    """Brute force: every import against every file it may name. Relative ones name one path below the root."""
     extensions = ", ".join(f"'{e[1:]}'" for e in dims.IMPORT_EXTENSIONS)
     return f"""
     imp AS (
@@ -139,12 +136,14 @@ def _resolution(known: str) -> str:
         THEN list_concat(regexp_extract_all(content, '(?m)^import (\\S+)$', 1), regexp_extract_all(content, '(?m)^from (\\S+) import', 1))
         ELSE regexp_extract_all(content, 'import x from ''([^'']+)''', 1) END) AS import_statement FROM code),
     stems AS (SELECT file_path AS dst, module_path AS dst_module, regexp_replace(file_path, '\\.[a-z]+$', '') AS stem
-      FROM code WHERE {known} AND ext IN ({extensions})),
+      FROM code WHERE ext IN ({extensions})),
     best AS (
       SELECT i.file_path, i.import_statement,
         first(s.dst ORDER BY (s.dst_module = i.module_path) DESC, s.dst_module, s.dst) AS resolved
-      FROM imp i JOIN stems s ON s.stem = replace(i.import_statement, '.', '/')
-        OR ends_with(s.stem, concat('/', replace(i.import_statement, '.', '/')))
+      FROM imp i JOIN stems s ON CASE
+        WHEN i.import_statement LIKE './%' THEN s.stem = concat(i.module_path, '/', i.import_statement[3:])
+        WHEN i.import_statement LIKE '../%' THEN s.stem = i.import_statement[4:]
+        ELSE s.stem = replace(i.import_statement, '.', '/') OR ends_with(s.stem, concat('/', replace(i.import_statement, '.', '/'))) END
       GROUP BY ALL),
     res AS (SELECT i.file_path, i.import_statement, b.resolved FROM imp i LEFT JOIN best b USING (file_path, import_statement))"""
 
@@ -252,40 +251,40 @@ ORACLES = {
     "module_path": f"WITH {CODE} SELECT file_path, module_path FROM code",
     "language_guess": f"WITH {CODE} SELECT file_path, language FROM code",
     "docstrings": rf"""
-      {_PY} SELECT file_path, 'module' AS name, regexp_extract(content, '^\"\"\"(.*?)\"\"\"', 1) AS doc FROM py WHERE main
-      UNION ALL SELECT file_path, regexp_extract(content, 'class (\w+)', 1), regexp_extract(content, 'class \w+\(Base\):\n    \"\"\"(.*?)\"\"\"', 1) FROM py WHERE main
-      UNION ALL SELECT file_path, 'build', regexp_extract(content, 'def build[^\n]*:\n    \"\"\"(.*?)\"\"\"', 1) FROM py WHERE main""".replace('\\"', '"'),
+      {_PY} SELECT file_path, 'module' AS name, regexp_extract(content, '^\"\"\"(.*?)\"\"\"', 1) AS doc FROM py
+      UNION ALL SELECT file_path, regexp_extract(content, 'class (\w+)', 1), regexp_extract(content, 'class \w+\(Base\):\n    \"\"\"(.*?)\"\"\"', 1) FROM py
+      UNION ALL SELECT file_path, 'build', regexp_extract(content, 'def build[^\n]*:\n    \"\"\"(.*?)\"\"\"', 1) FROM py""".replace('\\"', '"'),
     "py_comments": listed("py", _PY_COMMENTS, "comment", _PY),
     "py_imports": listed("py", _PY_IMPORTS, "import_statement", _PY),
-    "py_classes": rf"{_PY} SELECT file_path, regexp_extract(content, 'class (\w+)', 1) AS class_name, 'size' AS name, {_PARAMS.format(r'''regexp_extract(content, 'def size\(([^)]*)\)', 1)''')} AS params FROM py WHERE main",
-    "py_functions": rf"{_PY} SELECT file_path, regexp_extract(content, '(?m)^def (\w+)', 1) AS name, {_PARAMS.format(r'''regexp_extract(content, '(?m)^def \w+\(([^)]*)\)', 1)''')} AS params FROM py WHERE main",
+    "py_classes": rf"{_PY} SELECT file_path, regexp_extract(content, 'class (\w+)', 1) AS class_name, 'size' AS name, {_PARAMS.format(r'''regexp_extract(content, 'def size\(([^)]*)\)', 1)''')} AS params FROM py",
+    "py_functions": rf"{_PY} SELECT file_path, regexp_extract(content, '(?m)^def (\w+)', 1) AS name, {_PARAMS.format(r'''regexp_extract(content, '(?m)^def \w+\(([^)]*)\)', 1)''')} AS params FROM py",
     "call_edges": f"{_PY}, {_EDGES} SELECT file_path, caller, callee FROM edges",
     "call_graph": f"{_PY}, {_EDGES} SELECT DISTINCT caller, callee FROM edges",
     "def_complexity": f"""
-      {_PY} SELECT file_path, 'size' AS name, CAST(1 AS BIGINT) AS complexity FROM py WHERE main
-      UNION ALL SELECT file_path, 'build', 1 + len(regexp_extract_all(content, '(?m)^ +if ')) FROM py WHERE main""",
+      {_PY} SELECT file_path, 'size' AS name, CAST(1 AS BIGINT) AS complexity FROM py
+      UNION ALL SELECT file_path, 'build', 1 + len(regexp_extract_all(content, '(?m)^ +if ')) FROM py""",
     "complexity": rf"""
       WITH {CODE} SELECT file_path, len(regexp_extract_all(content, '(?m)^ *(?:def|function) \w')) + len(regexp_extract_all(content, '(?m)^ +if ')) AS complexity
       FROM code WHERE ext <> 'js'""",
     "js_functions": rf"""
       {_JS} SELECT file_path, CAST(0 AS BIGINT) AS ord, regexp_extract(content, 'function (\w+)', 1) AS name,
-        {_PARAMS.format(r'''regexp_extract(content, 'function \w+\(([^)]*)\)', 1)''')} AS params FROM js WHERE main""",
+        {_PARAMS.format(r'''regexp_extract(content, 'function \w+\(([^)]*)\)', 1)''')} AS params FROM js""",
     "js_imports": listed("js", _JS_IMPORTS, "import_statement", _JS),
     "js_comments": listed("js", _JS_COMMENTS, "comment", _JS),
-    "function_count": f"WITH {CODE} SELECT file_path, CAST(CASE WHEN main AND ext <> 'ts' THEN 1 ELSE 0 END AS BIGINT) AS function_count FROM code",
+    "function_count": f"WITH {CODE} SELECT file_path, CAST(CASE WHEN ext <> 'ts' THEN 1 ELSE 0 END AS BIGINT) AS function_count FROM code",
     "comment_density": f"WITH {CODE} SELECT file_path, round(len(CASE WHEN ext = 'py' THEN {_PY_COMMENTS} ELSE {_JS_COMMENTS} END) / {_LOC}, 6) AS comment_density FROM code",
     "file_records": rf"""
       WITH {CODE} SELECT file_path, language, md5(content) AS md5_hash, {_LOC} AS loc, strlen(content) AS size,
         len(regexp_extract_all(content, '(?m)^class ')) AS n_classes, len(regexp_extract_all(content, '(?m)^(?:def|function) ')) AS n_functions,
         len(CASE WHEN ext = 'py' THEN {_PY_IMPORTS} ELSE {_JS_IMPORTS} END) AS n_imports,
         len(CASE WHEN ext = 'py' THEN {_PY_COMMENTS} ELSE {_JS_COMMENTS} END) AS n_comments,
-        CAST(CASE WHEN main AND ext = 'py' THEN 3 ELSE 0 END AS BIGINT) AS n_docstrings,
+        CAST(CASE WHEN ext = 'py' THEN 3 ELSE 0 END AS BIGINT) AS n_docstrings,
         CASE WHEN ext = 'js' THEN 0 ELSE len(regexp_extract_all(content, '(?m)^ *(?:def|function) \w')) + len(regexp_extract_all(content, '(?m)^ +if ')) END AS complexity,
-        CAST(CASE WHEN main AND ext <> 'ts' THEN 1 ELSE 0 END AS BIGINT) AS function_count,
+        CAST(CASE WHEN ext <> 'ts' THEN 1 ELSE 0 END AS BIGINT) AS function_count,
         round(len(CASE WHEN ext = 'py' THEN {_PY_COMMENTS} ELSE {_JS_COMMENTS} END) / {_LOC}, 6) AS comment_density FROM code""",
-    "import_resolution": f"WITH {CODE}, {_resolution('''ext <> 'js' ''')} SELECT file_path, import_statement, resolved FROM res",
-    "unresolved_imports": f"WITH {CODE}, {_resolution('''ext <> 'js' ''')} SELECT file_path, import_statement FROM res WHERE resolved IS NULL",
-    "dependency_graph": f"WITH {CODE}, {_resolution('TRUE')} SELECT DISTINCT file_path AS src, resolved AS dst FROM res WHERE resolved IS NOT NULL",
+    "import_resolution": f"WITH {CODE}, {_resolution()} SELECT file_path, import_statement, resolved FROM res",
+    "unresolved_imports": f"WITH {CODE}, {_resolution()} SELECT file_path, import_statement FROM res WHERE resolved IS NULL",
+    "dependency_graph": f"WITH {CODE}, {_resolution()} SELECT DISTINCT file_path AS src, resolved AS dst FROM res WHERE resolved IS NOT NULL",
     "dependency_nodes": f"WITH {CODE} SELECT DISTINCT file_path AS id, language FROM code",
     "lint_stats": """
       WITH l AS (SELECT l_partkey % 4 AS kind, concat(l_returnflag, l_linestatus) AS rule, l_linenumber AS c FROM lineitem)

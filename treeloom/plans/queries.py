@@ -380,30 +380,24 @@ def file_records(spark, sf_dir):
         "function_count", F.round("comment_density", 6).alias("comment_density"))
 
 
-def _resolved(spark, sf_dir, known=lambda files: files):
-    """Every import of the code base, resolved against the `known` ones of its files. The files
-    and their imports are extracted once; resolution looks at them several times."""
+def _resolved(spark, sf_dir):
+    """Every import of the code base, resolved against all its files. The files and their imports are extracted once; resolution looks at them several times."""
     found = F.when(F.col("language") == "python", pycode.imports(F.col("content"))).otherwise(
         script.imports(F.col("content")))
     code = materialize(corpora.code_files(spark, sf_dir).select(
         "file_path", "module_path", "language", found.alias("imports")), "imports")
     rows = rows_of(code, "imports", "file_path", "module_path", "language").drop("ord")
-    return graph.resolve_imports(rows.withColumnRenamed("item", "import_statement"), known(code.drop("imports")), stage=materialize)
-
-
-def _without_javascript(files):
-    """Leaves imports of JavaScript files unresolved."""
-    return files.where(F.col("language") != "javascript")
+    return graph.resolve_imports(rows.withColumnRenamed("item", "import_statement"), code.drop("imports"), stage=materialize)
 
 
 @query
 def import_resolution(spark, sf_dir):
-    return _resolved(spark, sf_dir, _without_javascript).select("file_path", "import_statement", "resolved")
+    return _resolved(spark, sf_dir).select("file_path", "import_statement", "resolved")
 
 
 @query
 def unresolved_imports(spark, sf_dir):
-    return graph.unresolved(_resolved(spark, sf_dir, _without_javascript)).select("file_path", "import_statement")
+    return graph.unresolved(_resolved(spark, sf_dir)).select("file_path", "import_statement")
 
 
 @query

@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from treeloom.operators.joins import attach, salted
 
-# Imports of one generated file come from one range of this many parts, so no file grows with the
-# number of lines its part has.
-IMPORT_RANGE = 1500
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -106,7 +101,8 @@ def _line(*parts: str | Column) -> Column:
 def _python_text(c: dict[str, Column]) -> Column:
     return F.concat_ws(
         "\n",
-        _line('"""', c["name"], ' module"""'), c["imports"], _line("# ", c["brand"]),
+        _line('"""', c["name"], ' module"""'), c["imports"],
+        _line("from absent.part", c["k"], " import build"), _line("# ", c["brand"]),
         _line("class Part", c["k"], "(Base):"), _line('    """', c["type"], '"""'),
         F.lit("    def size(self, scale=1):"), F.lit("        return scale_by(self.raw(), scale)"),
         F.lit("def build(a, b):"), F.lit('    """Build."""'), _line("    # build ", c["brand"]),
@@ -117,27 +113,34 @@ def _python_text(c: dict[str, Column]) -> Column:
 def _script_text(c: dict[str, Column]) -> Column:
     return F.concat_ws(
         "\n",
-        _line("// ", c["brand"]), c["imports"], _line("/* ", c["type"], " */"),
+        _line("// ", c["brand"]), c["imports"],
+        _line("import x from './part", c["next"], "';"), _line("import x from '../", c["module"], "/part", c["k"], "';"),
+        _line("import x from 'absent/part", c["k"], "';"), _line("/* ", c["type"], " */"),
         F.lit("function build(a, b) {"), F.lit("  if (a) { return merge(a, b); }"), F.lit("  return a.size(b);"),
         F.lit("}"),
     )
 
 
-def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A code base: one file per part, which imports the parts ordered together with it. Imports
-    beyond the first range of parts go to further files of the same part."""
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("k"), "p_name", "p_brand", "p_type", F.concat(F.lit("mod"), "p_size").alias("m"),
-        F.when(F.col("p_partkey") % 4 == 2, "js").when(F.col("p_partkey") % 4 == 3, "ts").otherwise("py").alias("ext"))
+def part_imports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(src, dst): the first parts of an order import all its parts of higher number, each once.
+    The first parts travel as one array per order."""
     rows = salted(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber"), ["l_partkey"])
     lead = rows.groupBy("l_orderkey").agg(
-        F.min(F.when(F.col("l_linenumber") == 1, F.col("l_partkey"))).alias("src"),
+        F.collect_set(F.when(F.col("l_linenumber") == 1, F.col("l_partkey"))).alias("leads"),
         F.collect_set("_salt").alias("_salts"))
-    edges = (
-        attach(rows, lead.where(F.col("src").isNotNull()), ["l_orderkey"])
-        .where(F.col("l_partkey") > F.col("src"))
-        .select("src", F.col("l_partkey").alias("dst")).distinct()
+    importers = F.filter("leads", lambda k: k < F.col("l_partkey"))
+    return (
+        attach(rows, lead.where(F.size("leads") > 0), ["l_orderkey"])
+        .select(F.explode(importers).alias("src"), F.col("l_partkey").alias("dst")).distinct()
     )
+
+
+def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code base: one file per part, which imports the parts ordered together with it, and by fixed
+    lines a neighbour and itself by relative path (scripts) and a part that names no file."""
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("k"), "p_name", "p_brand", "p_type", F.concat(F.lit("mod"), "p_size").alias("m"),
+        F.when(F.col("p_partkey") % 4 == 2, "js").when(F.col("p_partkey") % 4 == 3, "ts").otherwise("py").alias("ext"))
     src, dst = part.select(F.col("k").alias("src"), F.col("ext").alias("src_ext")), part.select(F.col("k").alias("dst"), "m")
     module, name = F.col("m"), _line("part", F.col("dst"))
     line = (
@@ -145,22 +148,16 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("dst") % 2 == 0, _line("import ", module, ".", name))
         .otherwise(_line("from ", module, ".", name, " import build"))
     )
-    lines = edges.join(src, "src").join(dst, "dst").select(
-        "src", F.floor(F.col("dst") / IMPORT_RANGE).alias("chunk"), line.alias("line"))
-    # Every part has a first file, with or without imports.
-    first = part.select(F.col("k").alias("src"), F.lit(0).cast("bigint").alias("chunk"), F.lit(None).cast("string").alias("line"))
-    chunks = lines.unionByName(first).groupBy("src", "chunk").agg(F.collect_list("line").alias("lines"))
-    imports = F.when(F.size("lines") > 0, F.array_join(F.array_sort("lines"), "\n"))
-
-    is_main = F.col("chunk") == 0
-    cols = {"k": F.col("k").cast("string"), "name": F.col("p_name"), "brand": F.col("p_brand"),
-            "type": F.col("p_type"), "imports": F.col("imports")}
-    files = chunks.select("src", "chunk", imports.alias("imports")).join(part, F.col("k") == F.col("src"))
-    return files.select(
+    lines = part_imports(spark, sf_dir).join(src, "src").join(dst, "dst").select(F.col("src").alias("k"), line.alias("line"))
+    imports = lines.groupBy("k").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("imports"))
+
+    cols = {"k": F.col("k").cast("string"), "name": F.col("p_name"), "brand": F.col("p_brand"), "type": F.col("p_type"),
+            "imports": F.col("imports"), "module": F.col("m"), "next": (F.col("k") + 1).cast("string")}
+    return part.join(imports, "k", "left").select(
         F.col("m").alias("module_path"),
-        F.concat("m", F.lit("/part"), "k", F.when(is_main, "").otherwise(F.concat(F.lit("_"), "chunk")), F.lit("."), "ext").alias("file_path"),
+        F.concat("m", F.lit("/part"), "k", F.lit("."), "ext").alias("file_path"),
         F.when(F.col("ext") == "py", "python").when(F.col("ext") == "js", "javascript").otherwise("typescript").alias("language"),
-        F.when(~is_main, F.col("imports")).when(F.col("ext") == "py", _python_text(cols)).otherwise(_script_text(cols)).alias("content"),
+        F.when(F.col("ext") == "py", _python_text(cols)).otherwise(_script_text(cols)).alias("content"),
     )
 
 
