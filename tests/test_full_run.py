@@ -220,3 +220,16 @@ def test_merge_keeps_the_later_record_of_a_path(spark):
     parts = [spark.createDataFrame(rows, "file_path string, language string") for rows in (
         [("a", "x"), ("b", "x")], [("b", "y"), ("c", "y")], [("a", None)])]
     assert sorted(map(tuple, records.merge(parts).collect()), key=str) == [("a", None), ("b", "y"), ("c", "y")]
+
+
+def test_doc_links_with_quotes_and_line_ends(spark, tmp_path):
+    (tmp_path / "l.csv").write_text('File,Documentation\na.py,"say ""hi"" now"\nb.py,"two\nlines"\na2.py,x\na2.py,y\n')
+    rows = tables.read_doc_links(spark, str(tmp_path / "l.csv")).collect()
+    assert {tuple(r) for r in rows} == {("a.py", 'say "hi" now'), ("b.py", "two\nlines"), ("a2.py", "y")}
+
+
+def test_type_and_language_after_many_blanks(spark):
+    from treeloom.functions import text
+    rows = spark.createDataFrame([(" " * 300 + "\n<html><p>",), (" " * 300 + "<?xml version='1.0'?>",), ("a\n<html>",)], "c string")
+    got = rows.select(text.text_type(F.col("c"), F.lit("")), text.content_language(F.col("c"))).collect()
+    assert [tuple(r) for r in got] == [("text/html", "html"), ("application/xml", "xml"), ("text/plain", None)]

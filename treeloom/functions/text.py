@@ -61,14 +61,13 @@ def signature_type(data: Column) -> Column:
 
 
 def text_type(content: Column, ext: Column) -> Column:
-    """MIME type of readable text: by extension, else by its first characters."""
+    """MIME type of readable text: by extension, else by how it begins."""
     by_ext = F.lit(None).cast("string")
     for known, mime in dims.TEXT_TYPE_OF.items():
         by_ext = F.when(ext == known, F.lit(mime)).otherwise(by_ext)
-    head = F.substring(content, 1, 256)
     by_content = (
-        F.when(F.rlike(head, F.lit(r"(?i)^\s*<(!doctype\s+html|html[\s>])")), F.lit("text/html"))
-        .when(F.rlike(head, F.lit(r"^\s*<\?xml")), F.lit("application/xml"))
+        F.when(F.rlike(content, F.lit(r"(?i)\A\s*+<(!doctype\s+html|html[\s>])")), F.lit("text/html"))
+        .when(F.rlike(content, F.lit(r"\A\s*+<\?xml")), F.lit("application/xml"))
         .otherwise(F.lit("text/plain"))
     )
     return (
@@ -100,13 +99,12 @@ def is_text(mime: Column, ext: Column, data: Column) -> Column:
 
 
 def content_language(content: Column) -> Column:
-    """Language by the first bytes of the text, null if they tell nothing."""
-    head = F.substring(content, 1, 256)
+    """Language by how the text begins, null if they tell nothing."""
     return (
-        F.when(F.rlike(head, F.lit(r"^#![^\n]*\bpython")), F.lit("python"))
-        .when(F.rlike(head, F.lit(r"^#![^\n]*\b(node|deno)\b")), F.lit("javascript"))
-        .when(F.rlike(head, F.lit(r"(?i)^\s*<(!doctype\s+html|html[\s>])")), F.lit("html"))
-        .when(F.rlike(head, F.lit(r"^\s*<\?xml")), F.lit("xml"))
+        F.when(F.rlike(content, F.lit(r"^#![^\n]*\bpython")), F.lit("python"))
+        .when(F.rlike(content, F.lit(r"^#![^\n]*\b(node|deno)\b")), F.lit("javascript"))
+        .when(F.rlike(content, F.lit(r"(?i)\A\s*+<(!doctype\s+html|html[\s>])")), F.lit("html"))
+        .when(F.rlike(content, F.lit(r"\A\s*+<\?xml")), F.lit("xml"))
     )
 
 

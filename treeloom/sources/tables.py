@@ -46,10 +46,11 @@ def last_link_per_file(links: DataFrame, order: str = "ord") -> DataFrame:
 
 
 def read_doc_links(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with the header `File,Documentation`; the last row of a file wins, a missing CSV is empty."""
+    """CSV with the header `File,Documentation`; the last row of a file wins, a missing CSV is empty.
+    Fields in quotes may hold doubled quotes and line ends."""
     if not _exists(spark, path):
         return spark.createDataFrame([], "File string, Documentation string")
-    rows = spark.read.csv(path, header=True)
+    rows = spark.read.csv(path, header=True, escape='"', multiLine=True)
     order = F.struct(
         "_metadata.file_path", F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("row"))
