@@ -233,3 +233,10 @@ def test_type_and_language_after_many_blanks(spark):
     rows = spark.createDataFrame([(" " * 300 + "\n<html><p>",), (" " * 300 + "<?xml version='1.0'?>",), ("a\n<html>",)], "c string")
     got = rows.select(text.text_type(F.col("c"), F.lit("")), text.content_language(F.col("c"))).collect()
     assert [tuple(r) for r in got] == [("text/html", "html"), ("application/xml", "xml"), ("text/plain", None)]
+
+
+def test_a_second_run_replaces_the_json_lines(spark, result, tmp_path):
+    written = next(x for x in result if isinstance(x, dict))["records"]
+    for _ in range(2):
+        full_run.write_records(written, str(tmp_path / "jsonl"))
+    assert spark.read.text(str(tmp_path / "jsonl")).count() == written.count()

@@ -38,10 +38,10 @@ def json_line(columns: list[str]) -> Column:
 
 
 def write_records(records: DataFrame, out: str) -> None:
-    """Appends records as JSON Lines, one folder per module. The rebalance splits a module that
-    holds a large share of the rows over several files."""
+    """Writes records as JSON Lines, one folder per module, in place of those of a former run. The
+    rebalance splits a module that holds a large share of the rows over several files."""
     lines = records.select("module_path", json_line(records.columns).alias("value"))
-    lines.hint("rebalance", "module_path").write.mode("append").partitionBy("module_path").text(out)
+    lines.hint("rebalance", "module_path").write.mode("overwrite").partitionBy("module_path").text(out)
 
 
 def analysed(records: DataFrame, patterns: list[tuple[str, str]] | None = None) -> DataFrame:
