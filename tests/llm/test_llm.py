@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -208,12 +209,23 @@ def test_packing(spark, docs, cases):
     assert packing.pack(docs.limit(0), tokenizer()).count() == 0
 
 
-def test_tokens_word_by_word():
+def test_tokens_by_unit(monkeypatch):
     from tokenizers import Tokenizer
     texts = ["I'm it's <|endoftext|> x <|EndOfText|>", "don't. ABC, 12.5, é. É, Σ ΑΣ İstanbul x y a　b ﬁ é. '.', ... foo'S. a.b,c", "", " \x1c a\x85b "]
-    ids = packing.Ids(tokenizer())
-    expected = Tokenizer.from_file(tokenizer()).encode_batch(texts, add_special_tokens=False)
-    assert [np.frombuffer(x, "<u4").tolist() for x in ids.encode_all([t.encode().split() for t in texts])] == [e.ids for e in expected]
+    own = Tokenizer.from_file(tokenizer())
+    texts += [f"{w}{s}{v}" for w in ("abc", "é", "É", "×", "ß", "Ÿ", "e\u0301", "9", "'s", "") for s in (".", ",'s", "###", "'ll", "<|", "_", "\u0338", "$é")
+              for v in ("", "t", "É", " q,")]
+    rest = ["".join(chr(c) for c in random.Random(i).choices([*range(1, 0x250), *range(0x300, 0x340), 0x2019, 0x3000, 0x1F600], k=60)) for i in range(200)]
+    rest += ["the <|startoftext|>a, THE<|endoftext|>. the,", "tHe, the", "the."]
+    for slots, known in ((1 << 22, 1 << 24), (4, 64)):  # with room for all, and forgetting all the time
+        monkeypatch.setattr(packing, "SLOTS", slots)
+        monkeypatch.setattr(packing, "KNOWN_IDS", known)
+        ids = packing.Ids(tokenizer())
+        for some in (texts, [*texts[::-1], ""], *([r] for r in rest), [r.replace("<|", "< |") for r in rest], texts):
+            found, _, row = ids.texts(*ta.buffers(pa.array(some)))
+            for text, x in zip(some, found, strict=True):
+                assert np.frombuffer(x, "<u4").tolist() == own.encode(text, add_special_tokens=False).ids, text
+            assert (np.diff(row) >= 0).all()
 
 
 def test_bm25_prefers_shared_rare_words():

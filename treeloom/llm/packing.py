@@ -1,7 +1,8 @@
 """Packing of token sequences by lexical retrieval.
 
 Documents are dealt over partitions by language and a hash, and each partition is read in shards of
-bounded size. A shard has an inverted index with BM25 weights over its documents' words. A seed, the
+bounded size. A shard has an inverted index with BM25 weights over its documents' words, without the
+symbols at their ends. A seed, the
 first document not used yet, opens a window of SEQUENCE tokens; the index returns the unused documents
 that score best against the seed, and these fill the window greedily. The last one is cut where the
 window ends and its rest returns to the pool. Without a scored neighbour left, the next unused document
@@ -15,8 +16,8 @@ other; repeated rows are packed each, in their order within the partition; an em
 
 from __future__ import annotations
 
+import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +31,14 @@ from treeloom.llm import textarrays as ta
 SEQUENCE = 4096
 END = 2
 SHARD_DOCS, SHARD_BYTES = 2048, 16 << 20
-#: Words whose ids a Python worker remembers; more words are tokenized again.
-CACHE_WORDS = 1_000_000
+#: What a Python worker remembers: places for units, a power of two, and their ids. What is forgotten is tokenized again.
+SLOTS, KNOWN_IDS = 1 << 22, 1 << 24
+#: Units tokenized by one call.
+LEARN = 2000
+#: Lower-case letters of Latin-1, which the tokenizer's normalizer leaves as they are.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
+SYMBOL = np.zeros(256, bool)
+SYMBOL[[i for i in range(0x21, 0x7F) if not chr(i).isalnum()]] = True
 K1, B = 1.2, 0.75
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
@@ -39,14 +46,35 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 _tokenizers: dict[str, tuple] = {}
 
 
+def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The places where an ASCII symbol follows a letter (ASCII or Latin-1) of the same text."""
+    here = data[1:]
+    letter = (here >= ord("a")) & (here <= ord("z"))
+    letter |= (data[:-1] == 0xC3) & (here != 0x97) & (here != 0xB7)  # not the two signs among these letters
+    letter = np.concatenate(([len(data) > 0 and ord("a") <= data[0] <= ord("z")], letter))
+    cut = np.concatenate(([False], SYMBOL[here] & letter[:-1]))
+    cut[offsets[offsets < len(cut)]] = False
+    return np.flatnonzero(cut)
+
+
 class Ids:
-    """Token ids of texts as little-endian 32-bit bytes. White space never joins tokens in this tokenizer,
-    so words are tokenized one by one and remembered."""
+    """Token ids of the units of texts. A unit is a word, or what is left of it before and after a place
+    where a letter meets an ASCII symbol: the tokenizer joins no tokens over white space or over such a
+    place. Units are tokenized once and found again by their hash in a table of SLOTS places."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        # The same model without normalizer and pattern, for words that neither would change or cut.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.key = np.zeros(SLOTS, np.uint64)
+        self.begin, self.count = np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
+        self.ids, self.used = np.zeros(KNOWN_IDS, np.uint32), 0
 
     @staticmethod
     def of(path: str) -> Ids:
@@ -54,30 +82,70 @@ class Ids:
             _tokenizers[path] = Ids(path)
         return _tokenizers[path]
 
-    def learn(self, words: list[bytes]) -> None:
-        """Lower case and a last full stop or comma after a letter change no other token, so each word's
-        stem is tokenized once."""
-        stems = {w: w if b"<|" in w else w.lower() for w in words}
-        split = {w: s[:-1] if s[-1:] in b".," and s[-2:-1].isalpha() else s for w, s in stems.items()}
-        new = [s for s in {*split.values(), b".", b","} if s not in self.known]
-        for s, e in zip(new, self.tokenizer.encode_batch_fast([s.decode() for s in new], add_special_tokens=False),
-                        strict=True):
-            self.known[s] = array("I", e.ids).tobytes()
-        for w in words:
-            stem = split[w]
-            tail = self.known[stems[w][-1:]] if len(stem) < len(stems[w]) else b""
-            self.known[w] = self.known[stem] + tail
-
-    def encode_all(self, texts: list[list[bytes]]) -> list[bytes]:
-        """The ids of texts given by their words."""
-        new = set().union(*texts) - self.known.keys()
-        if new:
-            if len(self.known) > CACHE_WORDS:
-                self.known.clear()
-                new = set().union(*texts)
-            self.learn(list(new))
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in texts]
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, one after the other, and how many each has."""
+        count = np.zeros(len(units), np.int64)
+        plain = np.array([PLAIN.fullmatch(u) is not None for u in units], bool)
+        joined = np.array(self.plain.encode(" ".join([u for u, p in zip(units, plain, strict=True) if p]),
+                                            add_special_tokens=False).ids, np.uint32)
+        count[plain] = np.diff(np.flatnonzero(self.ends[joined]), prepend=-1)
+        other = [np.array(self.tokenizer.encode(units[i], add_special_tokens=False).ids, np.uint32)
+                 for i in np.flatnonzero(~plain)]
+        count[~plain] = [len(x) for x in other]
+        out = np.empty(int(count.sum()), np.uint32)
+        of_plain = np.repeat(plain, count)
+        out[of_plain] = joined
+        out[~of_plain] = np.concatenate(other) if other else []
+        return out, count
+
+    def learn(self, units: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of new units begin and how many each has."""
+        parts = [self.encode(units[i:i + LEARN]) for i in range(0, len(units), LEARN)]
+        ids, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids[:self.used], ids))
+        begin = self.used + np.cumsum(count) - count
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        slot = (keys & np.uint64(SLOTS - 1)).astype(np.int64)  # of several the last one has it
+        self.key[slot], self.begin[slot], self.count[slot] = keys, begin, count
+        return begin, count
+
+    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The ids of each text as little-endian 32-bit bytes; hash and text of each unit that is a search term."""
+        raw = data.tobytes()
+        special = b"<|" in raw  # may be one of the tokenizer's own, which it neither lowers nor cuts
+        lower = data if special else ta.LOWER[data]
+        cut = np.zeros(0, np.int64) if special or not len(data) else _cuts(lower, offsets)
+        start, end = ta.runs(lower, offsets, ~ta.SPACE[lower])
+        if len(cut):
+            start, end = np.sort(np.concatenate((start, cut))), np.sort(np.concatenate((end, cut)))
+        keys = ta.segments(lower, start, end)
+        begin, count = self.find(lower.tobytes(), start, end, keys)
+        first = np.searchsorted(start, offsets)
+        total = np.concatenate(([0], np.cumsum(count)))
+        flat = self.ids[np.repeat(begin - total[:-1], count) + np.arange(int(total[-1]))]
+        edges = total[first].tolist()
+        term = ~SYMBOL[lower[start]]
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        return [flat[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], keys[term], row[term]
+
+    def find(self, raw: bytes, start: np.ndarray, end: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of units begin and how many each has."""
+        slot = (keys & np.uint64(SLOTS - 1)).astype(np.int64)
+        missing = np.flatnonzero(self.key[slot] != keys)
+        if not len(missing):
+            return self.begin[slot], self.count[slot]
+        new, at, again = np.unique(keys[missing], return_index=True, return_inverse=True)
+        at = missing[at]
+        if self.used + 16 * len(new) > KNOWN_IDS and len(missing) < len(keys):  # too full: forget all and begin anew
+            self.key[:], self.used, self.ids = 0, 0, np.zeros(KNOWN_IDS, np.uint32)
+            return self.find(raw, start, end, keys)
+        units = [raw[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+        begin, count = self.begin[slot], self.count[slot]
+        new_begin, new_count = self.learn(units, new)
+        begin[missing], count[missing] = new_begin[again], new_count[again]
+        return begin, count
 
 
 class Index:
@@ -180,13 +248,10 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
             ids = batch.column(0).to_pylist()
             for a, b in ta.chunks(offsets):
                 part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
-                w = ta.words(part, off, lower=True)
-                raw = part.tobytes()
-                raw = raw if b"<|" in raw else raw.lower()  # the tokenizer lowers all but its special tokens
-                found = ids_of.encode_all([raw[off[i]:off[i + 1]].split() for i in range(b - a)])
+                found, terms, of = ids_of.texts(part, off)
                 held += [(i, x + END.to_bytes(4, "little")) for i, x in zip(ids[a:b], found, strict=True)]
-                hashes.append(w.hash)
-                rows.append(w.row + (len(held) - (b - a)))
+                hashes.append(terms)
+                rows.append(of + (len(held) - (b - a)))
                 size += len(part)
                 if len(held) >= SHARD_DOCS or size >= SHARD_BYTES:
                     yield close()
