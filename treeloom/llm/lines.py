@@ -32,7 +32,7 @@ BANDS, ROWS = 10, 3
 CHUNK_CHARS = 1 << 18
 #: Lines that a task remembers so as not to hash them again.
 SEEN_LINES = 200_000
-#: Tables of candidates and answers up to this number of rows are sent to all tasks; larger ones are joined by a shuffle.
+#: Candidate and answer tables up to this number of lines are sent to all tasks; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 400_000
 
 _random = np.random.RandomState(8)
@@ -165,7 +165,7 @@ def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
         classes.join(links.parts(coarse.select(F.col("component").alias("coarse"), F.col("node").alias("id"))), "id")
         .groupBy("first.row").agg(F.collect_list(F.struct("first.line_no", "part", "id")).alias("wanted")), f"{name}-wanted")
     texts = _identified(docs).select("row", "text")
-    if wanted.count() <= BROADCAST_ROWS:
+    if (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_ROWS:  # lines, of which a row may have many
         wanted = F.broadcast(wanted)
     sets = texts.join(wanted, "row").select("text", "wanted").mapInArrow(
         _members, "part bigint, id bigint, line string")
