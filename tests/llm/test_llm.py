@@ -372,3 +372,28 @@ def test_pipeline(spark, docs):
         seen.append(frame.count())
     assert sorted(seen, reverse=True) == seen and seen[-1] > 0
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, SF_DIR).collect()} == {r["doc_id"] for r in frame.collect()}
+
+
+def test_paragraphs_find_edited_passages(spark):
+    """Passages of 50 to 100 words with one or two changed words, set in unlike text, against brute-force Jaccard."""
+    rng, rows, sought = random.Random(5), [], []
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    shingles = lambda w: {tuple(w[k:k + 5]) for k in range(len(w) - 4)}
+    for size, edits in [(50, 1), (52, 1), (60, 1), (75, 1), (100, 2), (60, 0), (29, 0)] * 20:
+        passage = text(size)
+        copy = list(passage)
+        for e in range(edits):
+            copy[(e + 1) * size // (edits + 1)] = "changed"
+        a, b = shingles(passage), shingles(copy)
+        assert 10 * len(a & b) >= 8 * len(a | b)
+        i = len(rows)
+        sought.append((i, i + 1))
+        rows += [(i, " ".join(text(70) + passage + text(70)), size), (i + 1, " ".join(text(90) + copy + text(40)), size)]
+    rows.append((len(rows), " ".join(text(300)), 0))
+    frame = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    got = paragraphs.repeated(frame, "edited").collect()
+    assert {(r.kept_doc_id, r.doc_id) for r in got if not r.kept and r.doc_id != r.kept_doc_id} == set(sought)
+    for r in got:  # nothing outside the passage is to be removed
+        start = 90 if r.doc_id % 2 else 70
+        slack = 12 if r.n_words == 29 else 0
+        assert start - slack <= r.first_word and r.first_word + r.n_words <= start + rows[r.doc_id][2] + slack
