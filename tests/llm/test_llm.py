@@ -184,6 +184,24 @@ def test_html():
     assert html.main_text(None) == html.main_text("") == html.main_text("<script>x") == "" and html.main_text("plain") == "plain"
 
 
+def test_html_parts_without_closing_tags():
+    for page, expected in [
+            ("<article><p>a<p class=\"ad\">x<p>b</p><p>c</p></article>", "a\nb\nc"),
+            ("<article><ul><li>a<li class=share>x<ul><li>y</ul><li>b</ul><p>c</article>", "a\nb\nc"),
+            ("<html><head><title>t</title><meta charset=x><body><article><p>a</article>", "a"),
+            ("<head><title>t</title><p>a<p>b", "a\nb"), ("<head><link rel=x>a", "a"),
+            ("<article><div><div class=ad>x</article>y<article><p>b</article>", "b"),
+            ("<article><section><div class=ad>x<p>y</section><p>b</article>", "b"),
+            ("<article><table><tr><td class=ad>x<td>a<tr class=promo><td>y<tr><td>b</table><p>c</article>", "a\nb\nc"),
+            ("<article><dl><dt>a<dd class=ad>x<dt>b</dl><p>c</article>", "a\nb\nc"),
+            ("<article><p>a <select><option>x<option>y</select> b<p>c</article>", "a b\nc"),
+            ("<article><p>a <select><option>x<option>y</p><p>c</article>", "a\nc"),
+            ("<article><p class=ad>x<div>a</div><div class=ad>x<script>'</div>'</script>y</div>b</article>", "a\nb"),
+            ("<article><div class=ad><table><tr><td>x</div>y</table></div>b</article>", "b"),
+            ("<article><p>a <span class=ad>x<p>b</article>", "a\nb")]:
+        assert html.main_text(page) == expected, page
+
+
 def test_packing(spark, docs, cases):
     from tokenizers import Tokenizer
     reference = Tokenizer.from_file(tokenizer())

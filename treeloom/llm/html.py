@@ -9,7 +9,9 @@ element the threshold is zero, so short paragraphs stay; else it is THRESHOLD ch
 If no window passes it, the heaviest window does.
 
 Defined cases: a null or empty page gives an empty text; markup that is cut off ends with the page;
-a comment, script or style without an end reaches to the end of the page.
+a comment, script or style without an end reaches to the end of the page. Any other part that is left out ends with its
+element: at its closing tag, at the start of what ends a p, li, dt, dd, option, heading, part of a table or head whose closing
+tag is left out, or where an outer element closes.
 """
 
 from __future__ import annotations
@@ -39,6 +41,13 @@ MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "adbox", "banner", "
          "gdpr", "header", "masthead", "menu", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
          "popup", "promo", "related", "replies", "search", "share", "sharing", "sidebar", "sponsor", "sponsored",
          "subscribe", "topbar", "widget"}
+#: What may be in a head; what starts a row of a table or the like, and what each ends; where the search for an open element stops.
+HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+TABLE = {"caption", "colgroup", "tbody", "thead", "tfoot", "tr", "td", "th"}
+ENDS = {"td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th", "caption", "colgroup"},
+        **dict.fromkeys(("caption", "colgroup", "tbody", "thead", "tfoot"), TABLE)}
+SCOPE = {"html", "table", "td", "th", "caption", "template", "object", "svg", "math", "button"}
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)([^>]*)(?:>|\Z)", re.S)
@@ -53,27 +62,88 @@ def _marked(attributes: str) -> bool:
     return False
 
 
+def _ended_by_start(stack: list[str], name: str) -> int:
+    """How many open elements stay when an element starts: those whose closing tags are left out end."""
+    if "head" in stack and name not in HEAD:
+        return stack.index("head")
+    if name in ENDS:
+        keep = len(stack)
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i] in ("table", "template"):
+                break
+            if stack[i] in ENDS[name]:
+                keep = i
+        return keep
+    if name in ("option", "optgroup"):
+        keep = len(stack)
+        while keep and stack[keep - 1] in (("option",) if name == "option" else ("option", "optgroup")):
+            keep -= 1
+        return keep
+    keep = len(stack)
+    if name in ("li", "dt", "dd"):
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i] == name or name != "li" and stack[i] in ("dt", "dd"):
+                keep = i
+                break
+            if stack[i] in BLOCKS - {"address", "div", "p"} or stack[i] in SCOPE:
+                break
+    if name in BLOCKS and name not in ("html", "body", "legend"):
+        for i in range(keep - 1, -1, -1):
+            if stack[i] == "p":
+                keep = i
+                break
+            if stack[i] in SCOPE:
+                break
+    if name in HEADINGS and keep and stack[keep - 1] in HEADINGS:
+        keep -= 1
+    return keep
+
+
+def _ended_by_close(stack: list[str], name: str) -> int | None:
+    """Where in the stack the element is that a closing tag ends, None if it ends none."""
+    barrier = {"table"} if name in TABLE else set() if name in SCOPE else SCOPE
+    for i in range(len(stack) - 1, -1, -1):
+        if stack[i] == name or name in HEADINGS and stack[i] in HEADINGS:
+            return i
+        if stack[i] in barrier:
+            break
+    return None
+
+
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """(text, characters outside links, in the article) of each line; lines of other parts have the text ''."""
     out: list[tuple[str, int, bool]] = []
     text: list[str] = []
-    linked = article = anchors = 0
-    apart: str | None = None  # the element that is skipped, and how often it is open
-    depth = 0
+    linked = anchors = 0
+    stack: list[str] = []  # the open elements
+    apart: int | None = None  # the place in the stack of the element that is skipped
 
     def flush() -> None:
         nonlocal linked
         line = " ".join(entities.unescape("".join(text)).split())
         if line:
-            out.append((line, max(0, len(line) - linked), article > 0))
+            out.append((line, max(0, len(line) - linked), "article" in stack or "main" in stack))
         text.clear()
         linked = 0
 
+    def end(keep: int) -> None:
+        """Closes the open elements from a place in the stack on."""
+        nonlocal apart
+        if apart is None and any(x in BLOCKS for x in stack[keep:]):
+            flush()
+        elif apart is not None and keep < apart and any(x in BLOCKS for x in stack[keep:apart]):
+            flush()
+        del stack[keep:]
+        if apart is not None and keep <= apart:
+            apart = None
+
     at = 0
     while at < len(page):
         found = TAG.search(page, at)
         piece = page[at:found.start()] if found else page[at:]
-        if piece and not apart:
+        if apart is not None and stack[-1] == "head" and piece.strip():
+            end(len(stack) - 1)  # text is never in a head
+        if piece and apart is None:
             text.append(piece)
             if anchors:
                 linked += len(piece)
@@ -85,36 +155,62 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             continue
         closing = bool(found[1] or found[4])
         attributes = found[3] or found[6] or ""
-        if apart:
-            if name == apart and not attributes.endswith("/"):
-                depth += -1 if closing else 1
-                if not depth:
-                    apart = None
+        alone = attributes.endswith("/") or name in VOID
+        if name in ("script", "style", "textarea", "title"):
+            if not closing and not alone:
+                close = re.compile(rf"</{name}\s*>", re.I).search(page, at)
+                at = close.end() if close else len(page)
+            if apart is None:
+                text.append(" ")
             continue
-        if name in SILENT:
-            if not closing and not attributes.endswith("/"):
-                if name in ("script", "style", "textarea", "title"):
-                    end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                    at = end.end() if end else len(page)
+        if closing:
+            if name in ("html", "body"):
+                if apart is None:
+                    flush()
+                continue
+            if name in BLOCKS and apart is None:
+                flush()
+            place = _ended_by_close(stack, name)
+            if name == "a" and (apart is None or place is not None and place < apart):
+                anchors = max(0, anchors - 1)
+            if place is not None:
+                if name not in BLOCKS and name not in SILENT and any(x in BLOCKS for x in stack[place + 1:]) and place != apart:
+                    del stack[place]  # blocks that began in an inline element go on after it
+                    if apart is not None and place < apart:
+                        apart -= 1
                 else:
-                    apart, depth = name, 1
+                    end(place)
+            if name in SILENT and apart is None:
+                text.append(" ")
+            continue
+        keep = _ended_by_start(stack, name)
+        if keep < len(stack):
+            end(keep)
+        if apart is not None:
+            if not alone:
+                stack.append(name)
+            continue
+        if name in SILENT:
+            if not alone:
+                apart = len(stack)
+                stack.append(name)
             text.append(" ")
             continue
-        if not closing and name not in VOID and name not in ("html", "body", "article", "main") and not attributes.endswith("/") and (
-                name in APART or _marked(attributes)):
+        if not alone and name not in ("html", "body", "article", "main") and (name in APART or _marked(attributes)):
             if name in BLOCKS:
                 flush()
                 out.append(("", 0, False))
-            apart, depth = name, 1
+            apart = len(stack)
+            stack.append(name)
             continue
         if name in BLOCKS:
             flush()
-            if name in ("article", "main"):
-                article = max(0, article + (-1 if closing else 1))
         elif name == "br":
             text.append(" ")
         elif name == "a":
-            anchors = max(0, anchors + (-1 if closing else 1))
+            anchors += 1
+        if not alone or name in ("article", "main"):
+            stack.append(name)
     flush()
     return out
 
