@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import ctw, decontaminate, html, licences, lines, packing, paragraphs, quality, rules, setjoin
+from treeloom.llm import ctw, decontaminate, html, lexsearch, licences, lines, packing, paragraphs, quality, rules, setjoin
 
 QUERIES = {}
 
@@ -78,3 +78,8 @@ def op9_count_vector_join(spark, sf_dir):
 def op10_main_text(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", "url", html.extract("html").alias("text"))
     return rows.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op13_fp_tree_search(spark, sf_dir):
+    return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
