@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import ctw, decontaminate, html, lexsearch, licences, lines, packing, paragraphs, quality, rules, setjoin
+from treeloom.llm import ctw, decontaminate, dialogue, html, lexsearch, licences, lines, packing, paragraphs, quality, rules, setjoin
 
 QUERIES = {}
 
@@ -83,3 +83,8 @@ def op10_main_text(spark, sf_dir):
 @query
 def op13_fp_tree_search(spark, sf_dir):
     return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_branch_bound_repair(spark, sf_dir):
+    return dialogue.repair(table(spark, sf_dir, "conversations"))
