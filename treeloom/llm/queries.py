@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from treeloom.llm import ctw, decontaminate, dialogue, html, lexsearch, licences, lines, packing, paragraphs, quality, rules, setjoin
+from treeloom.llm import ctw, decontaminate, dialogue, html, lexsearch, licences, lines, packing, paragraphs, quality, rules, setjoin, tokenfiles
 
 QUERIES = {}
 
@@ -88,3 +88,9 @@ def op13_fp_tree_search(spark, sf_dir):
 @query
 def op12_branch_bound_repair(spark, sf_dir):
     return dialogue.repair(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op11_huffman_token_files(spark, sf_dir):
+    from public_tokenizers import path
+    return tokenfiles.read(spark, tokenfiles.write(table(spark, sf_dir, "documents"), path("word_bpe_49k.json")))
