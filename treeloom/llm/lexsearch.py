@@ -10,8 +10,8 @@ at their largest counts, plus the item's deeper terms at the deepest largest cou
 A subtree whose bound is below the item's tenth best score so far is skipped; documents that are reached
 are scored exactly. Items are searched in blocks, all items of a block in one walk of the trie.
 
-How it runs on Spark: terms are cut by one regular expression in the JVM; the corpus totals N and L and the
-document frequencies are Spark aggregations over all documents; the items' vocabulary is joined to the
+How it runs on Spark: terms are cut by one split in the JVM, in one pass over the texts; the corpus totals N
+and L and the document frequencies are Spark aggregations over all documents; the items' vocabulary is joined to the
 terms (broadcast only when its counted size is below BROADCAST_TERMS, otherwise by a shuffle). Documents are
 dealt into shards of about DOCS_PER_SHARD by a hash of their row; the items (the stated query set) are
 sent to every shard and each shard's trie is searched in its own task (cogroup). Each shard returns at
@@ -57,10 +57,14 @@ RESULT = "item_id bigint, rank int, doc_id bigint, score bigint"
 _FOUND = "item bigint, item_id bigint, doc_id bigint, row bigint, score bigint"
 
 
+#: The complement of TERM: terms are what lies between its runs.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
 def terms(text) -> "F.Column":
-    """The terms of a text column: null has none."""
+    """The terms of a text column (the maximal runs of TERM, cut by one split): null has none."""
     low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    return F.regexp_extract_all(low, F.lit(TERM), 0)
+    return F.array_remove(F.split(low, BETWEEN), "")
 
 
 def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
@@ -68,20 +72,26 @@ def search(docs: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), terms(F.col("text")).alias("terms")) \
         .withColumn("row", F.monotonically_increasing_id()).withColumn("n", F.size("terms").cast("bigint"))
-    totals = rows.agg(F.count(F.when(F.col("n") > 0, 1)).alias("N"), F.sum("n").alias("L")).first()
-    n_docs, n_terms = int(totals["N"] or 0), int(totals["L"] or 0)
     asked = items.select(F.col("item_id").cast("bigint").alias("item_id"), terms(F.col("text")).alias("terms")) \
         .withColumn("item", F.monotonically_increasing_id())
     wanted = materialize(asked.select("item", "item_id", F.explode("terms").alias("term"))
                          .groupBy("item", "item_id", "term").agg(F.count(F.lit(1)).alias("q")), "search-items")
-    vocab = materialize(wanted.select("term").distinct(), "search-vocab")
-    if n_docs == 0 or vocab.count() == 0:
+    vocab = materialize(wanted.select("term", F.lit(True).alias("asked")).distinct(), "search-vocab")
+    if vocab.count() == 0:
         return spark.createDataFrame([], RESULT)
     if vocab.count() <= BROADCAST_TERMS:
         vocab = F.broadcast(vocab)
+    # One pass over the texts: terms outside the vocabulary are counted together under a null term, so
+    # that each document's groups sum to its n and the totals come from the same table.
     postings = materialize(rows.where("n > 0").select("row", "doc_id", "n", F.explode("terms").alias("term"))
-                           .join(vocab, "term").groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf")),
+                           .join(vocab, "term", "left").select("row", "doc_id", "n", F.when(F.col("asked"), F.col("term")).alias("term"))
+                           .groupBy("row", "doc_id", "n", "term").agg(F.count(F.lit(1)).alias("tf")),
                            "search-postings")
+    totals = postings.agg(F.sum("tf").alias("L"), F.round(F.sum(F.col("tf") / F.col("n"))).alias("N")).first()
+    n_docs, n_terms = int(totals["N"] or 0), int(totals["L"] or 0)
+    postings = postings.where(F.col("term").isNotNull())
+    if n_docs == 0:
+        return spark.createDataFrame([], RESULT)
     frequencies = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     ranked = materialize(frequencies.select(
         "term", F.floor(F.lit(1000.0) * F.log(F.lit(2.0 * n_docs + 2) / (2 * F.col("df") + 1))).cast("bigint").alias("w"),
