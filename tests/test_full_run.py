@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from treeloom import schema
 from treeloom.operators import records, validate
 from treeloom.plans import full_run, registry
-from treeloom.sources import files, tables
+from treeloom.sources import files, snapshots, tables
 from treeloom.streaming import ingest
 
 PNG = bytes.fromhex("89504E470D0A1A0A") + b"\x00" * 16
@@ -135,7 +135,7 @@ def test_tables(result):
 
 def test_jsonl_output_is_valid(spark, result):
     tables_, _, out = result
-    path = str(out / "run/jsonl")
+    path = snapshots.table_path(spark, str(out / "run"), "jsonl")
     assert tables.jsonl_is_valid(spark, path)
     checked = validate.schema_check(spark.read.text(path))
     assert checked.count() == tables_["records"].count()
@@ -240,3 +240,20 @@ def test_a_second_run_replaces_the_json_lines(spark, result, tmp_path):
     for _ in range(2):
         full_run.write_records(written, str(tmp_path / "jsonl"))
     assert spark.read.text(str(tmp_path / "jsonl")).count() == written.count()
+
+
+def test_runs_are_generations(spark, result):
+    _, once, out = result
+    folder = str(out / "run")
+    first = once()
+    second = once()
+    # the frames of the run before still read their own generation
+    assert first["records"].count() == second["records"].count()
+    third = once()
+    assert second["records"].count() == third["records"].count()
+    published = snapshots.manifests(spark, folder)
+    assert len(published) == snapshots.RETAIN
+    assert snapshots.latest(spark, folder)["tables"]["records"]["path"].startswith(folder + "/gen=")
+    assert set(snapshots.read_latest(spark, folder)) >= {"records", "skipped", "codebase_stats"}
+    gens = sorted(p.name for p in (out / "run").iterdir() if p.name.startswith("gen="))
+    assert len(gens) == snapshots.RETAIN and not any((out / "run" / g / "_staged").exists() for g in gens)

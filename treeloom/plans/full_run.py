@@ -10,7 +10,7 @@ from treeloom.functions.arrays import rows_of
 from treeloom.operators import analysis, enrich, graph, lint, stats, validate
 from treeloom.plans import registry
 from treeloom.session import materialize
-from treeloom.sources import files, tables
+from treeloom.sources import files, snapshots, tables
 
 
 def imports_of(records: DataFrame) -> DataFrame:
@@ -38,8 +38,8 @@ def json_line(columns: list[str]) -> Column:
 
 
 def write_records(records: DataFrame, out: str) -> None:
-    """Writes records as JSON Lines, one folder per module, in place of those of a former run. The
-    rebalance splits a module that holds a large share of the rows over several files."""
+    """Writes records as JSON Lines, one folder per module. The rebalance splits a module that holds a
+    large share of the rows over several files. `run` gives each run its own folder."""
     lines = records.select("module_path", json_line(records.columns).alias("value"))
     lines.hint("rebalance", "module_path").write.mode("overwrite").partitionBy("module_path").text(out)
 
@@ -69,12 +69,17 @@ def run(
     `dependency_nodes`, `dependency_edges`, `unresolved_imports`, `call_graph`, `lint_stats` and
     `codebase_stats`. Returns the written tables by name.
 
+    All tables of a run are one generation of `out` (`snapshots.Generation`): written into a folder of
+    their own and published together by one manifest, so a second run never touches the tables that a
+    first one returned or that readers use (`snapshots.read_latest`, `snapshots.table_path`).
+
     `lint_reports` has one row (file_path, report) per file, the report being a JSON array.
 
     Files are read once. What is known by path, the cache, lint reports and documentation links, is
     joined in one go before anything is analysed; the staged records are laid out so that the
     analysis scans only files of its handler that have changed.
     """
+    generation = snapshots.Generation(spark, out)
     cache = tables.read_cache(spark, cache_path) if cache_path else spark.createDataFrame([], schema.CACHE)
     staged = enrich.with_cache(files.read_records(spark, root, max_bytes=max_bytes), cache, ["analysis", "data"])
     if lint_reports is not None:
@@ -82,22 +87,21 @@ def run(
             lint_reports.select("file_path", F.try_parse_json("report").alias("lint_results")), "file_path", "left")
     if doc_links_csv:
         staged = enrich.with_documentation(staged, tables.read_doc_links(spark, doc_links_csv))
-    staged = materialize(staged, "staged", ["handler", "from_cache"])
+    staged = generation.stage(staged, "staged", ["handler", "from_cache"])
     skipped = staged.where(F.col("skip_reason").isNotNull()).drop("content")
     found = staged.where(F.col("skip_reason").isNull()).drop("skip_reason")
     records = analysed(found, patterns).drop("lint_results")
     # Handlers that check their record keep it only if it has what the record schema asks for.
     checked = F.col("handler").isin(dims.CHECKED_HANDLERS)
     records = records.withColumn("skip_reason", F.when(checked & ~validate.complete(), F.lit("invalid")))
-    records.write.mode("overwrite").parquet(f"{out}/records")
-    everything = spark.read.schema(records.schema).parquet(f"{out}/records")
+    everything = generation.write(records, "records")
     records = everything.where(F.col("skip_reason").isNull()).drop("skip_reason")
     reasons = ["file_path", "module_path", "language", "skip_reason"]
     skipped = skipped.select(reasons).unionByName(everything.where(F.col("skip_reason").isNotNull()).select(reasons))
-    write_records(records, f"{out}/jsonl")
+    write_records(records, generation.add("jsonl", "text"))
 
-    resolved = graph.resolve_imports(imports_of(records), records, stage=materialize)
-    resolved = materialize(resolved, "imports")
+    resolved = graph.resolve_imports(imports_of(records), records, stage=generation.stage)
+    resolved = generation.stage(resolved, "imports")
     lint_counts = spark.createDataFrame([], "violation string, n bigint")
     if lint_reports is not None:
         languages = records.select("file_path", "language")
@@ -114,9 +118,8 @@ def run(
         "lint_stats": lint_counts,
         "codebase_stats": stats.codebase_stats(records.select(totals).unionByName(no_record.select(totals))),
     }
-    for name, frame in results.items():
-        frame.write.mode("overwrite").parquet(f"{out}/{name}")
+    written = {name: generation.write(frame, name) for name, frame in results.items()}
     if cache_path:
         tables.write_cache(tables.cache_entries(records), cache_path)
-    written = {name: spark.read.parquet(f"{out}/{name}") for name in results}
+    generation.publish()
     return {"records": records, **written}
