@@ -14,7 +14,7 @@ payload, pieces); `pieces` lists the documents in a block as (seq, doc_id, at, o
 length): `at` is the piece's place in its document, `offset` its place in the block. A document may span
 blocks; its crc32 is combined from its pieces in order.
 
-How it runs on Spark: tokenizing is one Arrow task per partition; ordering is a range partitioning on
+How it runs on Spark: tokenizing is one Arrow task per partition, each word unit tokenized once per worker; ordering is a range partitioning on
 (doc_id, text hash, row), so a doc_id that many rows share still spreads over tasks; the start of each
 part comes from the per-part totals (one row per part). Only the code table (at most the tokenizer's
 vocabulary) is sent to tasks.
@@ -35,14 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from treeloom.llm import packing
+from treeloom.llm import textarrays as ta
 from treeloom.session import checkpoint_dir, materialize
 
 END_ID = 1
 LIMIT = 20
 BLOCK = 1 << 20
 STRIDE = 64
-#: Rows of texts tokenized at a time.
-ROWS = 256
 
 _PIECE = "struct<seq:bigint, doc_id:bigint, at:bigint, offset:bigint, length:bigint>"
 _BLOCKS = (f"part int, block int, first bigint, n_ids bigint, n_bits bigint, checkpoints array<bigint>, payload binary, "
@@ -50,31 +50,22 @@ _BLOCKS = (f"part int, block int, first bigint, n_ids bigint, n_bits bigint, che
 _DECODED = "part int, seq bigint, doc_id bigint, at bigint, local bigint, length bigint, crc bigint"
 RESULT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
-_TOKENIZERS: dict[str, object] = {}
-
-
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
-        from tokenizers import Tokenizer
-        _TOKENIZERS[path] = Tokenizer.from_file(path)
-    return _TOKENIZERS[path]
-
-
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, key (text hash), ids (array<int>, end id appended) of every row."""
+    """doc_id, key (text hash), ids (array<int>, end id appended) of every row. Word units are tokenized
+    once per worker and found again by hash (`packing.Ids`), which gives the ids of whole texts."""
     def encode(batches):
-        tok = _tokenizer(tokenizer)
+        ids_of = packing.Ids.of(tokenizer)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), ROWS):
-                chunk = [t or "" for t in texts[a:a + ROWS]]
-                ids = [np.append(np.asarray(e.ids, np.int32), np.int32(END_ID)) for e in tok.encode_batch(chunk, add_special_tokens=False)]
+            data, offsets = ta.buffers(batch.column(1))
+            for a, b in ta.chunks(offsets):
+                found, _, _ = ids_of.texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                ids = [np.append(np.frombuffer(x, "<u4").astype(np.int32), np.int32(END_ID)) for x in found]
                 lengths = np.array([len(x) for x in ids], np.int32)
-                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
                 values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, len(chunk)), batch.column(2).slice(a, len(chunk)),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)], ["doc_id", "key", "ids"])
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
+                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)], ["doc_id", "key", "ids"])
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
     return rows.mapInArrow(encode, "doc_id bigint, key bigint, ids array<int>")
