@@ -7,17 +7,20 @@ that is not deleted adds 3. Of the cheapest edit scripts the one whose audit (ed
 ASCII-least is taken.
 
 Method: depth-first branch and bound. A node is (rows consumed, state of the role automaton, cost,
-audit). An explicit stack holds open nodes, cheapest child on top; the incumbent starts as "delete
+audit). An explicit stack holds open nodes, least cost plus bound on top; the incumbent starts as "delete
 all" and is replaced by every cheaper (or equal and ASCII-lesser) complete script. A node is cut when its
-cost plus the suffix lower bound (4 for each later row that must go, 3 for each truncated one) exceeds the
-incumbent, or equals it with an audit that already sorts after the incumbent's. Each (row, state) keeps a
+cost plus the suffix lower bound exceeds the
+incumbent, or equals it with an audit that already sorts after the incumbent's; the bound of (row, state)
+is the least cost of the rest, from a backward pass over costs alone, so the first dive is already
+cheapest and what follows only settles ties. Each (row, state) keeps a
 dominance table of (cost, audit): a prefix is eliminated when another reached the same node cheaper, or
 as cheap with an audit that sorts before it at a letter both have (a prefix of it does not dominate, as
 longer continuations may sort differently). The stack empties only when optimality is proved.
 
 How it runs on Spark: damage, order, faults, gaps and illegal pairs are DataFrame expressions and windows
-partitioned by conversation; the search runs per conversation (`applyInPandas`) on four narrow columns,
-as the repair of a conversation depends on all of its rows.
+partitioned by conversation; one aggregation per conversation gathers the counts and its turns in order,
+and the search runs on those rows in Arrow batches (`mapInArrow`), as the repair of a conversation
+depends on all of its rows.
 
 Damage (contract): key `conv_id:turn` with a null written as one space; crc32(key) % 20 = 0 drops the row,
 1 empties its text, 2 removes its `.!?`, 3 repeats it (same turn), 4 sets its role to user. A null role or
@@ -33,7 +36,7 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,15 +84,15 @@ def repair(conversations: DataFrame) -> DataFrame:
     """One row per original conversation: counts of faults, the cheapest repair's cost, audit and hash."""
     rows = damaged(conversations)
     previous = F.lag("initial").over(Window.partitionBy("conv_id").orderBy("pos"))
-    counts = rows.withColumn("pair", F.concat(previous, F.col("initial"))).groupBy("conv_id").agg(
+    rows = rows.withColumn("pair", F.concat(previous, F.col("initial")))
+    grouped = rows.groupBy("conv_id").agg(
         F.coalesce(F.max("turn") - F.min("turn") + 1 - F.countDistinct("turn"), F.lit(0)).alias("gaps"),
         F.count(F.when(F.col("fault") == "b", 1)).alias("blank"),
         F.count(F.when(F.col("fault") == "d", 1)).alias("duplicate"),
         F.count(F.when(F.col("fault") == "t", 1)).alias("truncated"),
-        F.count(F.when(F.col("pair").isNotNull() & ~F.col("pair").isin(*LEGAL), 1)).alias("illegal"))
-    searched = rows.select("conv_id", "pos", "role", "text", "initial", "fault").groupBy("conv_id").applyInPandas(
-        _searched, _SEARCHED)
-    found = counts.join(searched, counts.conv_id.eqNullSafe(searched.conv_id)).drop(searched.conv_id)
+        F.count(F.when(F.col("pair").isNotNull() & ~F.col("pair").isin(*LEGAL), 1)).alias("illegal"),
+        F.array_sort(F.collect_list(F.struct("pos", "initial", "fault", "role", "text"))).alias("rows"))
+    found = grouped.mapInArrow(_searched, RESULT)
     everyone = conversations.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
     out = everyone.join(found, everyone.conv_id.eqNullSafe(found.conv_id), "left").drop(found.conv_id)
     zero = F.lit(0).cast("bigint")
@@ -99,11 +102,55 @@ def repair(conversations: DataFrame) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(EMPTY_SHA)).alias("repaired_sha256"))
 
 
-def _searched(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("pos")
-    cost, audit = search(list(zip(group["initial"], group["fault"])))
-    digest = replay(audit, list(group["role"]), list(group["text"]))
-    return pd.DataFrame({"conv_id": [group["conv_id"].iloc[0]], "cost": [cost], "audit": [audit], "repaired_sha256": [digest]})
+def _searched(batches):
+    """Each conversation row (its turns in order as an array): the search and the repaired hash."""
+    for batch in batches:
+        turns = batch.column("rows")
+        offsets = turns.offsets.to_numpy()
+        inner = turns.values
+        initials, faults = inner.field("initial").to_pylist(), inner.field("fault").to_pylist()
+        roles, texts = inner.field("role"), inner.field("text")
+        costs, audits, digests = [], [], []
+        for i in range(batch.num_rows):
+            a, b = int(offsets[i]), int(offsets[i + 1])
+            cost, audit = search(list(zip(initials[a:b], faults[a:b])))
+            costs.append(cost)
+            audits.append(audit)
+            digests.append(replay(audit, roles.slice(a, b - a).to_pylist(), texts.slice(a, b - a).to_pylist()))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("conv_id"), *[batch.column(c).cast(pa.int64()) for c in ("gaps", "blank", "duplicate", "truncated", "illegal")],
+             pa.array(costs, pa.int64()), pa.array(audits, pa.string()), pa.array(digests, pa.string())],
+            ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"])
+
+
+def cost_to_go(rows: list[tuple[str, str]]) -> list[list[float]]:
+    """The least cost from (rows consumed, automaton state) to an accepted end: the suffix lower bounds,
+    exact in cost (audits are left to the search)."""
+    n, inf = len(rows), float("inf")
+    h = [[inf] * 4 for _ in range(n + 1)]
+    for state in ACCEPT:
+        h[n][state] = 0
+    for i in range(n, -1, -1):
+        if i < n:
+            initial, fault = rows[i]
+            for state in range(4):
+                best = DELETE + h[i + 1][state]
+                if fault not in ("b", "d"):
+                    extra = TRUNCATED if fault == "t" else 0
+                    kept = STEP.get((state, initial))
+                    if kept is not None:
+                        best = min(best, KEEP + extra + h[i + 1][kept])
+                    made = "a" if state == 2 else "u"
+                    after = STEP.get((state, made))
+                    if after is not None and made != initial:
+                        best = min(best, REROLE + extra + h[i + 1][after])
+                h[i][state] = best
+        for _ in range(4):                      # inserts before row i, at most one per state
+            for state in range(4):
+                after = STEP.get((state, "a" if state == 2 else "u"))
+                if after is not None:
+                    h[i][state] = min(h[i][state], INSERT + h[i][after])
+    return h
 
 
 def _worse(bound: int, audit: str, best: tuple[int, str]) -> bool:
@@ -121,16 +168,13 @@ def _dominated(table: list, cost: int, audit: str) -> bool:
 def search(rows: list[tuple[str, str]]) -> tuple[int, str]:
     """Least (cost, audit) for rows of (role initial, fault); fault is '', 'b', 'd' or 't'."""
     n = len(rows)
-    bound = [0] * (n + 1)                       # suffix lower bounds
-    for i in range(n - 1, -1, -1):
-        fault = rows[i][1]
-        bound[i] = bound[i + 1] + (DELETE if fault in ("b", "d") else TRUNCATED if fault == "t" else 0)
+    bound = cost_to_go(rows)                    # suffix lower bounds per (row, state)
     best = (DELETE * n, "D" * n)                # incumbent: delete every row
     tables: dict[tuple[int, int], list] = {}
     stack = [(0, 0, 0, "")]
     while stack:
         i, state, cost, audit = stack.pop()
-        if _worse(cost + bound[i], audit, best):
+        if _worse(cost + bound[i][state], audit, best):
             continue
         table = tables.setdefault((i, state), [])
         if _dominated(table, cost, audit):
@@ -154,7 +198,7 @@ def search(rows: list[tuple[str, str]]) -> tuple[int, str]:
                     children.append((i + 1, kept, cost + KEEP + extra, audit + "K"))
                 if after is not None and made != initial:
                     children.append((i + 1, after, cost + REROLE + extra, audit + "R"))
-        children.sort(key=lambda c: (c[2], c[3]), reverse=True)
+        children.sort(key=lambda c: (c[2] + bound[c[0]][c[1]], c[3]), reverse=True)
         stack.extend(children)
     return best
 
