@@ -257,3 +257,39 @@ def test_runs_are_generations(spark, result):
     assert set(snapshots.read_latest(spark, folder)) >= {"records", "skipped", "codebase_stats"}
     gens = sorted(p.name for p in (out / "run").iterdir() if p.name.startswith("gen="))
     assert len(gens) == snapshots.RETAIN and not any((out / "run" / g / "_staged").exists() for g in gens)
+
+
+def exchanged(df):
+    """Names of the columns that the exchanges of a frame's physical plan carry."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.inputPlan()
+    names, stack = set(), [plan]
+    while stack:
+        node = stack.pop()
+        if "Exchange" in node.nodeName():
+            out = node.output()
+            names |= {out.apply(i).name() for i in range(out.size())}
+        children = node.children()
+        stack.extend(children.apply(i) for i in range(children.size()))
+    return names
+
+
+def test_enrichment_moves_no_content(spark, root, tmp_path, monkeypatch):
+    links = tmp_path / "links.csv"
+    links.write_text("File,Documentation\nmain.py,doc\n")
+    reports = spark.createDataFrame([("main.py", '[{"symbol": "unused"}]')], "file_path string, report string")
+    staged = []
+    original = snapshots.Generation.stage
+
+    def stage(self, df, name, partition_by=None):
+        staged.append((name, exchanged(df)))
+        return original(self, df, name, partition_by)
+
+    monkeypatch.setattr(snapshots.Generation, "stage", stage)
+    full_run.run(spark, root, str(tmp_path / "out"), doc_links_csv=str(links), cache_path=str(tmp_path / "cache"), lint_reports=reports)
+    again = full_run.run(spark, root, str(tmp_path / "out"), doc_links_csv=str(links), cache_path=str(tmp_path / "cache"), lint_reports=reports)
+    first = dict(staged)["staged"]
+    assert first and not first & {"content", "data"}
+    rows = {r.file_path: r for r in again["records"].collect()}
+    assert rows["main.py"].documentation == "doc" and rows["main.py"].analysis.functions[0].name == "run"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from treeloom import schema
+
 
 def with_cache(records: DataFrame, cache: DataFrame, fields: list[str]) -> DataFrame:
     """Takes `fields` from the cache where path and content hash agree, and adds `from_cache`.
@@ -43,3 +45,38 @@ def last_per_path(df: DataFrame, path: str, order: str) -> DataFrame:
     """The last row of each path by `order`."""
     rest = [c for c in df.columns if c != path]
     return df.groupBy(path).agg(F.max_by(F.struct(*rest), order).alias("_row")).select(path, "_row.*")
+
+
+def known_by_path(files: DataFrame, cache: DataFrame | None = None, links: DataFrame | None = None,
+                  lint_reports: DataFrame | None = None, fields: tuple[str, ...] = ("analysis", "data")) -> DataFrame:
+    """The listing (file_path, size) with what is known of each path before a file is read: the cache's
+    hash and `fields` as `_known_hash`, `_known_<field>`; documentation as `_known_documentation`; the
+    lint report as `_known_lint`. Only paths and these values are exchanged; no content exists yet.
+    Each side has one row per path (links: the last one), so no key is hot."""
+    out = files
+    if cache is not None:
+        out = out.join(cache.select("file_path", F.col("hash").alias("_known_hash"),
+                                    *[F.col(f).alias(f"_known_{f}") for f in fields]), "file_path", "left")
+    if links is not None:
+        out = out.join(links.select(F.col("File").alias("file_path"), F.col("Documentation").alias("_known_documentation")),
+                       "file_path", "left")
+    if lint_reports is not None:
+        out = out.join(lint_reports.select("file_path", F.col("report").alias("_known_lint")), "file_path", "left")
+    return out
+
+
+def settle_known(records: DataFrame, fields: tuple[str, ...] = ("analysis", "data")) -> DataFrame:
+    """Records read with `_known_*` columns: compares the content's hash with the cached one in the row
+    (the reading task) and takes the cached `fields` on a match (`from_cache`); turns the other known
+    values into `documentation` and `lint_results`. Null content matches nothing. No exchange."""
+    known = set(records.columns)
+    hit = F.coalesce(F.col("_known_hash") == F.md5("content"), F.lit(False)) if "_known_hash" in known else F.lit(False)
+    out = records.withColumn("from_cache", hit)
+    for f in fields:
+        cached = F.when(F.col("from_cache"), F.col(f"_known_{f}")) if f"_known_{f}" in known else F.lit(None)
+        out = out.withColumn(f, cached.cast(schema.ANALYSIS if f == "analysis" else "variant"))
+    if "_known_documentation" in known:
+        out = out.withColumn("documentation", F.col("_known_documentation"))
+    if "_known_lint" in known:
+        out = out.withColumn("lint_results", F.try_parse_json("_known_lint"))
+    return out.drop(*[c for c in out.columns if c.startswith("_known_")])

@@ -51,7 +51,7 @@ def assemble(files: DataFrame, root: str | None = None) -> DataFrame:
     if "size" not in df.columns:
         df = df.withColumn("size", text.byte_size(F.col("content")))
     df = df.withColumn("content", F.when(F.col("handler") != "image", F.col("content")))
-    extra = [c for c in ("skip_reason",) if c in df.columns]
+    extra = [c for c in df.columns if c == "skip_reason" or c.startswith("_known_")]
     return df.select(
         "file_path", "file_name", "extension", "module_path", "handler", "language", "file_type", "content",
         metadata(F.col("handler"), F.col("content"), F.col("size")).alias("metadata"), *extra,

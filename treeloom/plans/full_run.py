@@ -76,17 +76,19 @@ def run(
     `lint_reports` has one row (file_path, report) per file, the report being a JSON array.
 
     Files are read once. What is known by path, the cache, lint reports and documentation links, is
-    joined in one go before anything is analysed; the staged records are laid out so that the
-    analysis scans only files of its handler that have changed.
+    joined to the listing before any file is read, so no exchange carries content; the task that reads
+    a file compares its hash with the cached one. The staged records are laid out so that the analysis
+    scans only files of its handler that have changed.
     """
     generation = snapshots.Generation(spark, out)
     cache = tables.read_cache(spark, cache_path) if cache_path else spark.createDataFrame([], schema.CACHE)
-    staged = enrich.with_cache(files.read_records(spark, root, max_bytes=max_bytes), cache, ["analysis", "data"])
-    if lint_reports is not None:
-        staged = staged.join(
-            lint_reports.select("file_path", F.try_parse_json("report").alias("lint_results")), "file_path", "left")
-    if doc_links_csv:
-        staged = enrich.with_documentation(staged, tables.read_doc_links(spark, doc_links_csv))
+    links = tables.read_doc_links(spark, doc_links_csv) if doc_links_csv else None
+    reports = lint_reports.select("file_path", "report") if lint_reports is not None else None
+
+    def known(listing: DataFrame) -> DataFrame:
+        return enrich.known_by_path(listing, cache, links, reports)
+
+    staged = enrich.settle_known(files.read_records(spark, root, max_bytes=max_bytes, known=known))
     staged = generation.stage(staged, "staged", ["handler", "from_cache"])
     skipped = staged.where(F.col("skip_reason").isNotNull()).drop("content")
     found = staged.where(F.col("skip_reason").isNull()).drop("skip_reason")

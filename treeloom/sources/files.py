@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from treeloom import dims
 from treeloom.functions import text
@@ -83,39 +84,41 @@ def _reader(uri: str) -> Callable[[Batches], Batches]:
     def contents(batches: Batches) -> Batches:
         fs, base = _filesystem(uri)
 
-        def flush(rows: list[tuple]) -> pa.RecordBatch:
-            paths, sizes, data = zip(*rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(paths, pa.string()), pa.array(sizes, pa.int64()), pa.array(data, pa.binary())],
-                ["file_path", "size", "data"])
+        def flush(batch: pa.RecordBatch, rows: list[int], data: list) -> pa.RecordBatch:
+            kept = batch.take(pa.array(rows, pa.int64()))
+            columns = [kept.column(0), kept.column(1), pa.array(data, pa.binary()), *kept.columns[2:]]
+            return pa.RecordBatch.from_arrays(columns, ["file_path", "size", "data", *batch.schema.names[2:]])
 
         for batch in batches:
-            rows, held = [], 0
-            for path, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rows, data, held = [], [], 0
+            for i, path in enumerate(batch.column(0).to_pylist()):
                 try:
                     with fs.open_input_stream(f"{base}/{path}") as stream:
-                        data = stream.read()
+                        read = stream.read()
                 except FileNotFoundError:
                     continue
                 except OSError:
-                    data = None
-                if rows and held + len(data or b"") > _BATCH_BYTES:
-                    yield flush(rows)
-                    rows, held = [], 0
-                rows.append((path, size, data))
-                held += len(data or b"")
+                    read = None
+                if rows and held + len(read or b"") > _BATCH_BYTES:
+                    yield flush(batch, rows, data)
+                    rows, data, held = [], [], 0
+                rows.append(i)
+                data.append(read)
+                held += len(read or b"")
             if rows:
-                yield flush(rows)
+                yield flush(batch, rows, data)
     return contents
 
 
 def read_bytes(spark: SparkSession, root: str, files: DataFrame) -> DataFrame:
-    """(file_path, size) -> adds `data`. A file that has gone gives no row, one that cannot be read
-    gives null."""
+    """(file_path, size, ...) -> adds `data` after size; other columns of the listing ride along, so what
+    is known by path reaches the task that reads the file. A file that has gone gives no row, one that
+    cannot be read gives null."""
     total = files.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
     tasks = max(spark.sparkContext.defaultParallelism, total.bytes // _TASK_BYTES, total.n // _BATCH_ROWS)
-    return files.repartition(int(tasks), "file_path").mapInArrow(
-        _reader(_qualified(spark, root)), "file_path string, size bigint, data binary")
+    files = files.select("file_path", "size", *[c for c in files.columns if c not in ("file_path", "size")])
+    schema = files.schema.fields[:2] + [T.StructField("data", T.BinaryType())] + files.schema.fields[2:]
+    return files.repartition(int(tasks), "file_path").mapInArrow(_reader(_qualified(spark, root)), T.StructType(schema))
 
 
 def typed(files: DataFrame) -> DataFrame:
@@ -141,10 +144,14 @@ def _unread(files: DataFrame, reason: Column) -> DataFrame:
     return records.assemble(files.withColumns({"content": nothing, "file_type": nothing, "skip_reason": reason}))
 
 
-def read_records(spark: SparkSession, root: str, max_bytes: int = MAX_BYTES) -> DataFrame:
+def read_records(spark: SparkSession, root: str, max_bytes: int = MAX_BYTES,
+                 known: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Records without analysis for every file under `root`; files that give no record carry a
-    `skip_reason` and no content."""
+    `skip_reason` and no content. `known` adds columns named `_known_*` to the listing (paths and sizes,
+    no content yet); they are kept in the records."""
     files = listing(spark, root)
+    if known is not None:
+        files = known(files)
     read = to_records(read_bytes(spark, root, files.where(F.col("size") <= max_bytes)))
     return read.unionByName(_unread(files.where(F.col("size") > max_bytes), F.lit("too_large")))
 
