@@ -41,7 +41,7 @@ from treeloom.session import checkpoint_dir, materialize
 
 END_ID = 1
 LIMIT = 20
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 STRIDE = 64
 
 _PIECE = "struct<seq:bigint, doc_id:bigint, at:bigint, offset:bigint, length:bigint>"
@@ -55,17 +55,21 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     once per worker and found again by hash (`packing.Ids`), which gives the ids of whole texts."""
     def encode(batches):
         ids_of = packing.Ids.of(tokenizer)
-        for batch in batches:
-            data, offsets = ta.buffers(batch.column(1))
-            for a, b in ta.chunks(offsets):
-                found, _, _ = ids_of.texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                ids = [np.append(np.frombuffer(x, "<u4").astype(np.int32), np.int32(END_ID)) for x in found]
-                lengths = np.array([len(x) for x in ids], np.int32)
-                bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
-                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)], ["doc_id", "key", "ids"])
+        try:
+            for batch in batches:
+                data, offsets = ta.buffers(batch.column(1))
+                for a, b in ta.chunks(offsets):
+                    found, _, _ = ids_of.texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                    ids = [np.append(np.frombuffer(x, "<u4").astype(np.int32), np.int32(END_ID)) for x in found]
+                    lengths = np.array([len(x) for x in ids], np.int32)
+                    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
+                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)], ["doc_id", "key", "ids"])
+        finally:
+            # The unit tables and tokenizers are large; a reused worker need not carry them into later stages.
+            packing._tokenizers.pop(tokenizer, None)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
     return rows.mapInArrow(encode, "doc_id bigint, key bigint, ids array<int>")
@@ -134,8 +138,8 @@ def encode_block(ids: np.ndarray, table_codes: np.ndarray, table_lengths: np.nda
 def decode_table(symbols: np.ndarray, lengths: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
     """Lookup of the next `limit` bits: the id and its code length."""
     codes = canonical(symbols, lengths)
-    ids = np.zeros(1 << limit, np.int64)
-    sizes = np.zeros(1 << limit, np.int64)
+    ids = np.zeros(1 << limit, np.int32)
+    sizes = np.zeros(1 << limit, np.int32)
     for s, c, length in zip(symbols.tolist(), codes.tolist(), lengths.tolist()):
         lo = c << (limit - length)
         ids[lo:lo + (1 << (limit - length))] = s
@@ -213,7 +217,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
                 part = int(batch.column(3)[0].as_py())
             lists = batch.column(2)
             offsets = lists.offsets.to_numpy()
-            values = lists.values.to_numpy(zero_copy_only=False).astype(np.int64)
+            values = lists.values.to_numpy(zero_copy_only=False)
             doc_ids = batch.column(0).to_pylist()
             out = []
             for i in range(batch.num_rows):
@@ -221,7 +225,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
                 at = 0
                 while at < len(doc):
                     room = BLOCK - held
-                    piece = doc[at:at + room]
+                    piece = doc[at:at + room].copy()
                     pieces.append({"seq": seq, "doc_id": doc_ids[i], "at": at, "offset": held, "length": len(piece)})
                     pending.append(piece)
                     held += len(piece)
