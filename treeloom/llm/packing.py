@@ -32,7 +32,7 @@ SEQUENCE = 4096
 END = 2
 SHARD_DOCS, SHARD_BYTES = 2048, 16 << 20
 #: What a Python worker remembers: places for units, a power of two, and their ids. What is forgotten is tokenized again.
-SLOTS, KNOWN_IDS = 1 << 22, 1 << 24
+SLOTS, KNOWN_IDS = 1 << 20, 1 << 22
 #: Units tokenized by one call.
 LEARN = 2000
 #: Lower-case letters of Latin-1, which the tokenizer's normalizer leaves as they are.
@@ -243,20 +243,24 @@ def pack(docs: DataFrame, tokenizer: str) -> DataFrame:
             held, hashes, rows, size = [], [], [], 0
             return packer.flush()
 
-        for batch in batches:
-            data, offsets = ta.buffers(batch.column(1))
-            ids = batch.column(0).to_pylist()
-            for a, b in ta.chunks(offsets):
-                part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
-                found, terms, of = ids_of.texts(part, off)
-                held += [(i, x + END.to_bytes(4, "little")) for i, x in zip(ids[a:b], found, strict=True)]
-                hashes.append(terms)
-                rows.append(of + (len(held) - (b - a)))
-                size += len(part)
-                if len(held) >= SHARD_DOCS or size >= SHARD_BYTES:
-                    yield close()
-        if held:
-            yield close()
+        try:
+            for batch in batches:
+                data, offsets = ta.buffers(batch.column(1))
+                ids = batch.column(0).to_pylist()
+                for a, b in ta.chunks(offsets):
+                    part, off = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+                    found, terms, of = ids_of.texts(part, off)
+                    held += [(i, x + END.to_bytes(4, "little")) for i, x in zip(ids[a:b], found, strict=True)]
+                    hashes.append(terms)
+                    rows.append(of + (len(held) - (b - a)))
+                    size += len(part)
+                    if len(held) >= SHARD_DOCS or size >= SHARD_BYTES:
+                        yield close()
+            if held:
+                yield close()
+        finally:
+            # A reused worker does not carry the unit tables and tokenizers into other tasks.
+            _tokenizers.pop(tokenizer, None)
 
     key = F.xxhash64("doc_id", "text")
     dealt = ta.bounded(docs).select("doc_id", "text", "lang").repartitionByRange(F.col("lang"), F.xxhash64("doc_id"))
