@@ -293,3 +293,22 @@ def test_enrichment_moves_no_content(spark, root, tmp_path, monkeypatch):
     assert first and not first & {"content", "data"}
     rows = {r.file_path: r for r in again["records"].collect()}
     assert rows["main.py"].documentation == "doc" and rows["main.py"].analysis.functions[0].name == "run"
+
+
+@pytest.mark.parametrize("range_bytes", [7, 50, 1 << 20])
+def test_quoted_csv_by_byte_ranges(spark, tmp_path, range_bytes):
+    import csv
+    import io
+    import random
+    rng = random.Random(3)
+    rows = [(f"f{rng.randint(0, 30)}.py", rng.choice(["plain", 'say "hi" now', "two\nlines", "a,b", "", "x\r\ny", '""']) + str(i))
+            for i in range(300)]
+    buf = io.StringIO(newline="")
+    writer = csv.writer(buf, lineterminator="\n")
+    writer.writerow(["File", "Documentation"])
+    writer.writerows(rows)
+    path = tmp_path / "links.csv"
+    path.write_text(buf.getvalue(), newline="")
+    got = sorted((r.offset, r.File, r.Documentation) for r in tables.read_csv_links(spark, str(path), range_bytes).collect())
+    assert [(f, d) for _, f, d in got] == rows
+    assert len({o for o, _, _ in got}) == len(rows)
