@@ -14,7 +14,8 @@ payload, pieces); `pieces` lists the documents in a block as (seq, doc_id, at, o
 length): `at` is the piece's place in its document, `offset` its place in the block. A document may span
 blocks; its crc32 is combined from its pieces in order.
 
-How it runs on Spark: tokenizing is one Arrow task per partition, each word unit tokenized once per worker; ordering is a range partitioning on
+How it runs on Spark: tokenizing is one Arrow task per partition, each word unit tokenized once per worker
+(whose tables are freed where encoding and decoding begin); ordering is a range partitioning on
 (doc_id, text hash, row), so a doc_id that many rows share still spreads over tasks; the start of each
 part comes from the per-part totals (one row per part). Only the code table (at most the tokenizer's
 vocabulary) is sent to tasks.
@@ -55,21 +56,17 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
     once per worker and found again by hash (`packing.Ids`), which gives the ids of whole texts."""
     def encode(batches):
         ids_of = packing.Ids.of(tokenizer)
-        try:
-            for batch in batches:
-                data, offsets = ta.buffers(batch.column(1))
-                for a, b in ta.chunks(offsets):
-                    found, _, _ = ids_of.texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                    ids = [np.append(np.frombuffer(x, "<u4").astype(np.int32), np.int32(END_ID)) for x in found]
-                    lengths = np.array([len(x) for x in ids], np.int32)
-                    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
-                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)], ["doc_id", "key", "ids"])
-        finally:
-            # The unit tables and tokenizers are large; a reused worker need not carry them into later stages.
-            packing._tokenizers.pop(tokenizer, None)
+        for batch in batches:
+            data, offsets = ta.buffers(batch.column(1))
+            for a, b in ta.chunks(offsets):
+                found, _, _ = ids_of.texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                ids = [np.append(np.frombuffer(x, "<u4").astype(np.int32), np.int32(END_ID)) for x in found]
+                lengths = np.array([len(x) for x in ids], np.int32)
+                bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
+                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)], ["doc_id", "key", "ids"])
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
     return rows.mapInArrow(encode, "doc_id bigint, key bigint, ids array<int>")
@@ -198,6 +195,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
     parts = max(1, ids.rdd.getNumPartitions())
 
     def encoded(batches):
+        packing._tokenizers.clear()     # a reused worker need not carry the tokenizing stage's tables on
         pending, pieces, seq, first, block, part = [], [], 0, 0, 0, None
         held = 0
 
@@ -258,6 +256,7 @@ def read(spark, folder: str) -> DataFrame:
     symbols, lengths = codes["id"].to_numpy(np.int64), codes["length"].to_numpy(np.int64)
 
     def decoded(batches):
+        packing._tokenizers.clear()
         ids_of, size_of = decode_table(symbols, lengths) if len(symbols) else (np.zeros(1 << LIMIT, np.int64),) * 2
         for batch in batches:
             rows = {k: [] for k in ("part", "seq", "doc_id", "at", "local", "length", "crc")}
