@@ -186,6 +186,10 @@ ORACLES = {
     "doc_links": f"""
       SELECT file_path, source AS module_path, CASE WHEN url IS NULL THEN NULL WHEN doc_id % 2 = 0 THEN concat('new:', url) ELSE url END AS documentation
       FROM {TEXT} LEFT JOIN pages ON page_id = doc_id""",
+    "doc_links_csv": f"""
+      SELECT file_path, source AS module_path,
+        CASE WHEN url IS NULL THEN NULL ELSE concat('see "', CASE WHEN doc_id % 2 = 0 THEN concat('new:', url) ELSE url END, '"', chr(10), 'and, more') END AS documentation
+      FROM {TEXT} LEFT JOIN pages ON page_id = doc_id""",
     "cache_hits": f"""
       SELECT file_path, CASE WHEN doc_id % 3 = 0 THEN doc_id * 2 ELSE -1 END AS function_count, doc_id % 3 = 0 AS from_cache FROM {TEXT}""",
     "cache_delta": f"SELECT file_path FROM {TEXT} WHERE doc_id % 3 <> 0",

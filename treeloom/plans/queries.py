@@ -88,6 +88,20 @@ def doc_links(spark, sf_dir):
     return linked.select("file_path", "module_path", "documentation")
 
 
+@query
+def doc_links_csv(spark, sf_dir):
+    """The links written as a quoted CSV (quotes, commas and line ends in fields) and read back by byte ranges."""
+    import uuid
+    from treeloom.session import checkpoint_dir
+    links = corpora.doc_links(spark, sf_dir).select(
+        "File", F.concat(F.lit('see "'), "Documentation", F.lit('"\nand, more')).alias("Documentation"), "ord")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/treeloom-links-{uuid.uuid4().hex}"
+    links.orderBy("File", "ord").select("File", "Documentation").write.option("header", True) \
+        .option("quoteAll", True).option("escape", '"').csv(path)
+    linked = enrich.with_documentation(corpora.text_files(spark, sf_dir), tables.read_doc_links(spark, path))
+    return linked.select("file_path", "module_path", "documentation")
+
+
 @query
 def cache_hits(spark, sf_dir):
     docs = corpora.text_files(spark, sf_dir).withColumn("function_count", F.lit(-1).cast("bigint"))

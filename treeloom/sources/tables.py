@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -192,10 +194,16 @@ def read_csv_links(spark: SparkSession, path: str, range_bytes: int = CSV_RANGE_
     `File,Documentation`, read by byte ranges in many tasks. Fields in quotes may hold doubled quotes and
     line ends: a newline ends a record only after an even number of quotes, and each range learns the
     quotes before it from a first pass (one count per range, summed by a window)."""
-    files = _csv_files(spark, path)
-    ranges = [(f, s, min(s + range_bytes, size), 0) for f, size in files for s in range(0, size, range_bytes)]
-    table = spark.createDataFrame(ranges, "csv_file string, start bigint, end bigint, before bigint")
-    counted = table.repartition(max(1, len(ranges))).mapInArrow(_ranged(_quotes), "csv_file string, start bigint, quotes bigint")
+    files = [(f, size) for f, size in _csv_files(spark, path) if size > 0]
+    if not files:
+        return spark.range(0).select(F.lit(None).cast("string").alias("csv_file"), F.col("id").alias("offset"),
+                                     F.lit(None).cast("string").alias("File"), F.lit(None).cast("string").alias("Documentation"))
+    parts = [spark.range(0, size, range_bytes).select(
+        F.lit(f).alias("csv_file"), F.col("id").alias("start"), F.least(F.col("id") + range_bytes, F.lit(size)).alias("end"),
+        F.lit(0).cast("bigint").alias("before")) for f, size in files]
+    table = reduce(DataFrame.unionByName, parts)
+    n_ranges = sum(-(-size // range_bytes) for _, size in files)
+    counted = table.repartition(n_ranges).mapInArrow(_ranged(_quotes), "csv_file string, start bigint, quotes bigint")
     before = F.sum("quotes").over(Window.partitionBy("csv_file").orderBy("start")) - F.col("quotes")
     placed = table.drop("before").join(counted.select("csv_file", "start", before.alias("before")), ["csv_file", "start"])
     return placed.select("csv_file", "start", "end", "before").mapInArrow(
