@@ -123,16 +123,29 @@ def canonical(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def encode_block(ids: np.ndarray, table_codes: np.ndarray, table_lengths: np.ndarray) -> tuple[bytes, int, np.ndarray]:
     """Payload, bit count and checkpoints (bit offset of every STRIDE-th id) of one block."""
-    lengths = table_lengths[ids]
-    codes = table_codes[ids]
+    lengths = table_lengths[ids].astype(np.int64)
+    codes = table_codes[ids].astype(np.uint64)
     ends = np.cumsum(lengths)
     starts = ends - lengths
     total = int(ends[-1]) if len(ends) else 0
-    bits = np.zeros(total, np.uint8)
-    for j in range(int(lengths.max(initial=0))):
-        has = lengths > j
-        bits[starts[has] + j] = (codes[has] >> (lengths[has] - 1 - j)) & 1
-    return np.packbits(bits).tobytes(), total, starts[::STRIDE].astype(np.int64)
+    # Codes go into 64-bit words, most significant bit first; ids come in stream order, so the codes of
+    # one word are neighbours and are joined by one reduceat. A code that crosses a word spills its low
+    # bits into the top of the next word.
+    words = np.zeros(total // 64 + 2, np.uint64)
+    if total:
+        word, bit = starts >> 6, starts & 63
+        over = bit + lengths - 64                           # > 0: bits that spill into the next word
+        fits = over <= 0
+        high = np.where(fits, codes << np.where(fits, -over, 0).astype(np.uint64),
+                        codes >> np.where(fits, 0, over).astype(np.uint64))
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        words[word[first]] |= np.bitwise_or.reduceat(high, first)
+        spill = np.flatnonzero(~fits)
+        if len(spill):
+            low = codes[spill] << (64 - over[spill]).astype(np.uint64)
+            words[word[spill] + 1] |= low                   # at most one spill ends in each word
+    payload = words.astype(">u8").tobytes()[:(total + 7) // 8]
+    return payload, total, starts[::STRIDE].astype(np.int64)
 
 
 def decode_table(symbols: np.ndarray, lengths: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
