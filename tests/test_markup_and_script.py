@@ -115,3 +115,15 @@ def test_metrics(one):
     assert one("", metrics.comment_density(F.array(F.lit("a")), F.lit(4))) == 0.25
     assert one("", metrics.comment_density(F.array(F.lit("a")), F.lit(0))) == 0.0
     assert one("", metrics.comment_density(F.lit(None).cast("array<string>"), F.lit(4))) == 0.0
+
+
+def test_yaml_files_of_one_file_are_parsed_by_several_tasks(spark, tmp_path):
+    """A table of one file and one row group would be read and parsed by one task."""
+    from treeloom.plans.queries import QUERIES
+    from treeloom.sources import corpora
+    spark.range(300_000).select(
+        F.col("id").alias("p_partkey"), F.concat(F.lit("part "), F.sha1(F.col("id").cast("string"))).alias("p_name"),
+        F.lit("b").alias("p_brand"), F.lit(1).alias("p_size")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert corpora.yaml_files(spark, str(tmp_path)).select(F.spark_partition_id()).distinct().count() > 2
+    rows = QUERIES["yaml_data"](spark, str(tmp_path)).where("file_path in ('6.yaml', '7.yaml')").orderBy("file_path").collect()
+    assert [(r.key, r.name[:5], r.ready) for r in rows] == [(7, "part ", True), (8, "part ", None)]

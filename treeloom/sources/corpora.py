@@ -66,8 +66,10 @@ def xml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def yaml_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """`part` as YAML files."""
-    return table(spark, sf_dir, "part").select(
+    """`part` as YAML files. The table is small and often one file, which one task would read and parse,
+    so its rows are dealt over the tasks before the texts are made."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    return part.repartition("p_partkey", "p_name").select(
         F.concat("p_partkey", F.lit(".yaml")).alias("file_path"),
         F.concat_ws(
             "\n",
