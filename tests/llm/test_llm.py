@@ -350,6 +350,23 @@ def test_licences(spark, docs, cases):
     assert licences.scan(cases).where("family <> 'unknown'").count() == 0 and licences.scan(cases.limit(0)).count() == 0
 
 
+def test_licences_learn_from_every_paragraph(spark):
+    """50 of 6,050 paragraphs that name no licence are alike, and a sample of those with the smallest hashes has none of them."""
+    rng = random.Random(3)
+    plain = [" ".join(f"w{rng.randrange(10 ** 4)}" for _ in range(8)) for _ in range(6000)]
+    alike = spark.range(2000).select(F.concat(
+        F.lit("No part of this publication may be reproduced without the prior written permission of the publisher. "), "id").alias("text"))
+    alike = [r["text"] for r in alike.where(F.xxhash64("text") > 1 << 62).limit(50).collect()]
+    docs = spark.createDataFrame(list(enumerate(plain + alike)), "doc_id bigint, text string")
+    assert len(alike) == 50 and licences.unnamed(licences.paragraphs(docs), licences._features(spark)).agg(F.sum("n")).first()[0] == 6050
+    assert licences.scan(docs).where("family <> 'unknown'").count() <= 6
+
+
+def test_licences_limit(spark):
+    rows = spark.createDataFrame([(0.0, 2996), (0.61234, 1), (0.7, 2), (1.0, 1)], "probability double, n bigint")
+    assert licences._limit(rows) == 0.6124 and licences._limit(rows.limit(0)) == 0.0
+
+
 def test_containment(spark, cases):
     items = spark.createDataFrame([(1, " ".join(PROSE[:9])), (2, "A b"), (3, None), (4, ""), (5, "not in there at all nowhere"), (None, "y z"), (6, "a B")],
                                   "item_id bigint, text string")

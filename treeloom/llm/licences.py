@@ -1,12 +1,16 @@
 """Licence notices in paragraphs, by a trained classifier.
 
-A paragraph is a line of a text. A multinomial logistic regression over hashed word one- and two-grams
-is trained on the sentences of the licence templates, whole and in part, against a sample of at most
-SAMPLE paragraphs of the corpus that name no licence (class `none`). A second such sample calibrates the
-unknown class: a prediction under the probability that all but one in a thousand of these stay below is
-`unknown`. A prediction also has to be confirmed by template comparison: at least CONFIRM of the word
-three-grams of one of the family's sentences are in the paragraph; else it is `unknown`. Everything is
-DataFrame functions and the JVM's estimators.
+A paragraph is a line of a text. A multinomial logistic regression over the word one- and two-grams of the
+licence templates is trained on their sentences, whole and in part, against all paragraphs of the corpus
+that name no licence (class `none`, which together weigh NONE_WEIGHT examples). All these paragraphs also
+calibrate the unknown class: a prediction under the probability, in steps of 1 / STEPS, that all but one in a
+thousand of them stay below is `unknown`. A prediction also has to be confirmed by template comparison: at
+least CONFIRM of the word three-grams of one of the family's sentences are in the paragraph; else it is
+`unknown`. Everything is DataFrame functions and the JVM's estimators.
+
+How it runs: paragraphs with the same grams of the templates are the same example, so one aggregation
+counts them by these grams, and the model and the calibration read the counts. A second pass predicts
+every paragraph.
 
 Defined cases: a null or empty text has no paragraphs; a paragraph without words is skipped; rows that
 repeat a doc_id are each scanned; a null doc_id stays null; an empty table gives no rows.
@@ -14,8 +18,10 @@ repeat a doc_id are each scanned; a null doc_id stays null; an empty table gives
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import CountVectorizerModel, NGram
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,8 +85,8 @@ TEMPLATES = {
 FAMILIES = ["none", *TEMPLATES]
 #: Words that only a licence notice has; a paragraph with one is no example of `none`.
 NAMED = r"(?i)licen[cs]e|copyright|public domain|all rights reserved|redistribut|creative commons"
-SAMPLE = 2000
-DIMENSIONS = 1 << 14
+NONE_WEIGHT = 2000.0
+STEPS = 10_000
 CONFIRM = 0.8
 
 
@@ -88,17 +94,21 @@ def _words(text):
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}.-]+|[.-]+(?=\s|$)"), "")
 
 
-def _grams(rows: DataFrame) -> DataFrame:
-    """Adds `features` to rows with `words`."""
+def _terms(rows: DataFrame) -> DataFrame:
+    """Adds `_terms`, the one- and two-grams, to rows with `words`."""
     rows = NGram(n=2, inputCol="words", outputCol="_two").transform(rows)
-    rows = rows.withColumn("_terms", F.concat("words", "_two"))
-    return HashingTF(numFeatures=DIMENSIONS, binary=True, inputCol="_terms", outputCol="features").transform(rows).drop("_two", "_terms")
+    return rows.withColumn("_terms", F.concat("words", "_two")).drop("_two")
+
+
+def _once(rows: DataFrame, value, name: str) -> DataFrame:
+    """Adds a column that filters on it do not compute again: the optimizer moves none below an outer explode."""
+    return rows.select("*", F.explode_outer(F.array(value)).alias(name))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, text and words of the lines with a word of documents (doc_id, text)."""
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "text"))
-    return rows.withColumn("words", _words("text")).where("size(words) > 0")
+    return _once(rows, _words("text"), "words").where("size(words) > 0")
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -116,28 +126,51 @@ def _examples(spark: SparkSession) -> DataFrame:
     return rows.select(label.cast("double").alias("label"), "words", F.lit(1.0).alias("weight"))
 
 
+def _features(spark: SparkSession) -> Callable[[DataFrame], DataFrame]:
+    """What adds `features` to rows with `words`: which grams of the templates they have."""
+    terms = _terms(_templates(spark).withColumn("words", _words("text"))).select(F.explode("_terms")).distinct()
+    vectors = CountVectorizerModel.from_vocabulary(sorted(r[0] for r in terms.collect()), "_terms", "features").setBinary(True)
+    return lambda rows: vectors.transform(_terms(rows)).drop("_terms")
+
+
+def unnamed(lines: DataFrame, features: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """features and n: how many of all paragraphs that name no licence have them."""
+    plain = lines.where(~F.col("text").rlike(NAMED)).select("words")
+    return features(plain).groupBy("features").agg(F.count("*").alias("n"))
+
+
+def _limit(rows: DataFrame) -> float:
+    """The least step that all but one in a thousand of the paragraphs (probability, n) stay below."""
+    steps = rows.groupBy(F.floor(F.col("probability") * STEPS).alias("step")).agg(F.sum("n").alias("n")).collect()
+    left, limit = sum(r["n"] for r in steps) / 1000, 0
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        left -= r["n"]
+        if left < 0:
+            limit = r["step"] + 1
+            break
+    return limit / STEPS
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, line_no, family, probability, similarity, predicted (the family before the checks) of each licence notice."""
     spark = docs.sparkSession
-    lines = paragraphs(docs)
-    # Two samples of the corpus by the hash of the paragraph, so the same whatever the order of rows.
-    plain = lines.where(~F.col("text").rlike(NAMED)).select("text", "words").withColumn("h", F.xxhash64("text"))
-    sample = materialize(plain.orderBy("h").limit(2 * SAMPLE).select("words", "h"), "licence-none")
-    none = sample.withColumn("own", F.pmod(F.xxhash64("h"), F.lit(2)))
-    examples = _examples(spark).union(none.where("own = 0").select(F.lit(0.0), "words", F.lit(1.0)))
+    lines, features = paragraphs(docs), _features(spark)
+    none = materialize(unnamed(lines, features), "licence-none")
+    total = none.agg(F.sum("n")).first()[0] or 1
+    examples = features(_examples(spark)).select("label", "features", "weight").union(
+        none.select(F.lit(0.0), "features", F.col("n") * (NONE_WEIGHT / total)))
     model = LogisticRegression(regParam=1e-3, maxIter=60, weightCol="weight", family="multinomial").fit(
-        _grams(materialize(examples, "licence-examples")))
+        materialize(examples, "licence-examples"))
 
     def predicted(rows: DataFrame) -> DataFrame:
-        rows = model.transform(_grams(rows)).withColumn("_p", vector_to_array("probability"))
+        rows = _once(model.transform(rows), vector_to_array("probability"), "_p")
         best = F.array_max(F.slice("_p", 2, len(TEMPLATES)))
         return rows.select(*[c for c in rows.columns if c not in ("features", "rawPrediction", "probability", "prediction", "_p")],
                            best.alias("probability"), F.get("_p", F.lit(0)).alias("p_none"),
                            F.get(F.array(*map(F.lit, FAMILIES)), F.array_position("_p", best).cast("int") - 1).alias("predicted"))
 
-    limit = predicted(none.where("own = 1").select("words")).agg(F.percentile("probability", F.lit(0.999))).first()[0]
-    limit = max(0.5, limit or 0.0)
-    found = predicted(lines).where("p_none < 0.5")
+    limit = max(0.5, _limit(predicted(none)))
+    found = predicted(features(lines)).where("p_none < 0.5")
     grams = NGram(n=3, inputCol="words", outputCol="three")
     known = grams.transform(_templates(spark).withColumn("words", _words("text"))).groupBy("family").agg(
         F.collect_list("three").alias("templates"))
