@@ -432,3 +432,22 @@ def test_paragraphs_find_edited_passages(spark):
         start = 90 if r.doc_id % 2 else 70
         slack = 12 if r.n_words == 29 else 0
         assert start - slack <= r.first_word and r.first_word + r.n_words <= start + rows[r.doc_id][2] + slack
+
+
+def test_context_counts_come_in_batches(monkeypatch):
+    """A block is read and handed on in batches, whatever its size, and its counts are those of all its rows."""
+    monkeypatch.setattr(ctw, "ROWS_OUT", 50)
+    monkeypatch.setattr(ctw, "HELD_KEYS", 100)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["ab", "cd", f"w{rng.randrange(50)}"]) for _ in range(rng.randrange(30))) for _ in range(60)]
+    schema = pa.schema([("text", pa.string()), ("held_out", pa.bool_()), ("block", pa.int32())])
+    batches = (pa.RecordBatch.from_pylist([{"text": t, "held_out": i % 3 == 0, "block": 7} for i, t in list(enumerate(texts))[a:a + 9]],
+                                          schema) for a in range(0, 60, 9))
+    found = list(ctw._reports(batches))
+    assert len(found) > 3 and max(map(len, found)) <= 50
+    rows = pa.Table.from_batches(found).to_pylist()
+    assert {r["block"] for r in rows} == {7} and len({(r["kind"], r["key"]) for r in rows}) == len(rows)
+    learnt = [t for i, t in enumerate(texts) if i % 3]
+    assert sum(r["count"] for r in rows if r["kind"] == 1) == sum(len(t.split()) + 1 for t in learnt)
+    assert sum(r["count"] for r in rows if r["kind"] == 0) == sum(len(t) + 1 + bool(t) for t in learnt)
+    assert sum(r["kind"] for r in rows) == len({w for t in texts for w in t.split()}) + 1

@@ -21,6 +21,7 @@ count and are scored each; without training documents every bit has probability
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ DEPTH = 5
 BLOCK_BYTES = 24 << 20
 CHUNK_BYTES = 512 << 10
 #: Distinct keys that a block's counter holds before it merges them.
-HELD_KEYS = 1_000_000
+HELD_KEYS = 500_000
+#: Rows that a block hands on at a time.
+ROWS_OUT = 100_000
 GROUP_STRINGS = 400_000
 END, PAD = b"\n", b"\n" * DEPTH
 END_WORD = np.uint64(2)  # the end's id among word hashes, whose lowest bit is always 0
@@ -106,38 +109,52 @@ class Counter:
         if self.held > self.most and len(self.parts) > 1:
             self.parts = [self.total()]
             self.held = len(self.parts[0][0])
-            self.most = max(HELD_KEYS, 2 * self.held)
+            self.most = self.held + HELD_KEYS
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
         if not self.parts:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
         keys, counts = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.parts = []
         order = np.argsort(keys, kind="stable")
         keys, counts = keys[order], counts[order]
+        del order
         edge = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         return keys[edge], np.add.reduceat(counts, edge)
 
 
-def _reports(block: pa.Table) -> pa.Table:
+def _reports(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, kind, key, count): kind 0 strings, 1 words."""
-    train = ~block["held_out"].combine_chunks().to_numpy(zero_copy_only=False)
-    counters = Counter(), Counter()
-    for a, stream, begins in _streams(block["text"].combine_chunks()):
-        if len(begins) < 2:
+    counters, ends, of = (Counter(), Counter()), 0, None
+    for batch in batches:
+        if not len(batch):
             continue
-        own = train[a:a + len(begins) - 1]
-        keys, first = strings(stream, begins)
-        counters[0].add(keys, np.repeat(own, np.diff(first)))
-        keys, row = _words(stream, begins)
-        if len(keys):
-            counters[1].add(keys >> np.uint64(1), own[row])
-    found = [c.total() for c in counters]
-    keys = np.concatenate([found[0][0], found[1][0] << np.uint64(1), [END_WORD]])
-    kinds = np.repeat([0, 1], [len(found[0][0]), len(found[1][0]) + 1])
-    counts = np.concatenate([found[0][1], found[1][1], [train.sum()]])
-    return pa.table({
-        "block": pa.array(np.full(len(keys), block["block"][0].as_py()), pa.int32()), "kind": pa.array(kinds, pa.int8()),
-        "key": pa.array(keys.view(np.int64)), "count": pa.array(counts, pa.int64())})
+        of = batch["block"][0].as_py()
+        train = ~batch["held_out"].to_numpy(zero_copy_only=False)
+        ends += int(train.sum())
+        for a, stream, begins in _streams(batch["text"]):
+            own = train[a:a + len(begins) - 1]
+            keys, first = strings(stream, begins)
+            counters[0].add(keys, np.repeat(own, np.diff(first)))
+            keys, row = _words(stream, begins)
+            if len(keys):
+                counters[1].add(keys >> np.uint64(1), own[row])
+    if of is None:
+        return
+
+    def rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(keys), ROWS_OUT):
+            part = keys[a:a + ROWS_OUT]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), of), pa.int32()), pa.array(np.full(len(part), kind), pa.int8()),
+                 pa.array(part.view(np.int64)), pa.array(counts[a:a + ROWS_OUT], pa.int64())], ["block", "kind", "key", "count"])
+
+    yield from rows(0, *counters[0].total())
+    keys, counts = counters[1].total()
+    yield from rows(1, keys << np.uint64(1), counts)
+    yield from rows(1, np.array([END_WORD]), np.array([ends]))
+    del counters, keys, counts
+    ta.release()
 
 
 # The tree
@@ -280,9 +297,7 @@ def _scored(docs: pa.Table, answers: pa.Table, tokens: int, types: int) -> pa.Ta
     of_word = Table(keys[kind == 1], np.arange(len(counts)))
     end = int(of_word.of(np.array([END_WORD]))[0])
     out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
-    for _, stream, begins in _streams(docs["text"].combine_chunks()):
-        if len(begins) < 2:
-            continue
+    for stream, begins in (x[1:] for chunk in docs["text"].chunks for x in _streams(chunk)):
         grams, first = strings(stream, begins)
         out["score"].append(_sums(of_string.of(grams), first))
         ids, row = _words(stream, begins)
@@ -306,7 +321,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of each document (doc_id, text)."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(2, -(-size // BLOCK_BYTES))
-    dealt = docs.select(
+    dealt = ta.bounded(docs).select(
         "doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(blocks)).cast("int").alias("block"))
     reports = materialize(dealt.groupBy("block").applyInArrow(
@@ -332,6 +347,7 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     def predict(rows: pa.Table) -> pa.Table:
         keys = rows["key"].to_numpy().view(np.uint64)
         values = log10_of(keys, [*top_levels, *subtree(keys, rows["count"].to_numpy())])
+        ta.release()
         return pa.table({"kind": pa.array(np.zeros(len(keys)), pa.int8()), "key": rows["key"], "value": values})
 
     answers = grouped.applyInArrow(predict, "kind byte, key bigint, value double").union(
@@ -339,6 +355,8 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     back = reports.select("block", "kind", "key").join(answers, ["kind", "key"])
 
     def scored(docs_of: pa.Table, answers_of: pa.Table) -> pa.Table:
-        return _scored(docs_of, answers_of, tokens, types)
+        found = _scored(docs_of, answers_of, tokens, types)
+        ta.release()
+        return found
 
     return dealt.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(scored, _SCORES)
