@@ -451,3 +451,16 @@ def test_context_counts_come_in_batches(monkeypatch):
     assert sum(r["count"] for r in rows if r["kind"] == 1) == sum(len(t.split()) + 1 for t in learnt)
     assert sum(r["count"] for r in rows if r["kind"] == 0) == sum(len(t) + 1 + bool(t) for t in learnt)
     assert sum(r["kind"] for r in rows) == len({w for t in texts for w in t.split()}) + 1
+
+
+def test_python_stages_give_memory_back(monkeypatch):
+    """Before a task, after it, and when its reader stops early."""
+    from treeloom.llm import textarrays
+    calls = []
+    monkeypatch.setattr(textarrays, "release", lambda: calls.append(1))
+    work = textarrays.released(lambda batches: (b + 1 for b in batches))
+    assert list(work(iter([1, 2]))) == [2, 3] and len(calls) == 2
+    some = work(iter([1, 2]))
+    assert next(some) == 2
+    some.close()
+    assert len(calls) == 4

@@ -155,8 +155,8 @@ def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
     row is a hash of doc_id and text, kept_* the line of the group that stays.
     """
     described = materialize(_identified(docs).mapInArrow(
-        _described, "row bigint, doc_id bigint, line_no int, id bigint, bands array<bigint>"), f"{name}-described")
-    stars = described.select(F.explode("bands").alias("band"), "id").repartition("band").mapInArrow(_stars, "u bigint, v bigint")
+        ta.released(_described), "row bigint, doc_id bigint, line_no int, id bigint, bands array<bigint>"), f"{name}-described")
+    stars = described.select(F.explode("bands").alias("band"), "id").repartition("band").mapInArrow(ta.released(_stars), "u bigint, v bigint")
     coarse = links.components(stars, f"{name}-coarse")
     # A class is all equal lines.
     classes = materialize(described.groupBy("id").agg(
@@ -168,7 +168,7 @@ def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
     if (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_ROWS:  # lines, of which a row may have many
         wanted = F.broadcast(wanted)
     sets = texts.join(wanted, "row").select("text", "wanted").mapInArrow(
-        _members, "part bigint, id bigint, line string")
+        ta.released(_members), "part bigint, id bigint, line string")
     found = links.components(links.verified(sets, _sets), name)
     repeated = classes.join(found.select(F.col("node").alias("id"), "component"), "id", "left").where(
         "n > 1 or component is not null").withColumn("group", F.coalesce("component", "id"))

@@ -67,7 +67,7 @@ def _described(batches):
 def describe(docs: DataFrame) -> DataFrame:
     """doc_id, n (shingles), key1 and key2 (equal for equal sets), bottom (the smallest hashes), vector (group counts)."""
     return ta.bounded(docs).select("doc_id", "text").mapInArrow(
-        _described, "doc_id bigint, n bigint, key1 bigint, key2 bigint, bottom array<bigint>, vector binary")
+        ta.released(_described), "doc_id bigint, n bigint, key1 bigint, key2 bigint, bottom array<bigint>, vector binary")
 
 
 # The tree
@@ -159,7 +159,7 @@ def candidates(classes: DataFrame) -> DataFrame:
         .where("blocks = 1 or own <> other")
         .select("id", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("part")))
     rows = dealt.join(classes.select("id", "n", "vector"), "id").select("part", "id", "n", "vector")
-    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_joined, "u bigint, v bigint")
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(ta.released(_joined), "u bigint, v bigint")
 
 
 # The join
@@ -191,7 +191,7 @@ def join(docs: DataFrame, name: str = "setjoin") -> DataFrame:
     if coarse.count() <= BROADCAST_IDS:
         members = F.broadcast(members)
     sets = docs.select(F.col("doc_id").alias("id"), "text").join(members, "id").select(
-        "part", "id", "key1", "key2", "text").mapInArrow(_members, "part bigint, id bigint, set array<bigint>")
+        "part", "id", "key1", "key2", "text").mapInArrow(ta.released(_members), "part bigint, id bigint, set array<bigint>")
     found = links.components(links.verified(sets), name)
     answer = classes.select("key1", "key2", "n", "id").join(
         found.select(F.col("node").alias("id"), "component"), "id", "left").select(
