@@ -97,3 +97,12 @@ def test_query_equals_direct_tokenization(spark):
     rows = duckdb.sql(f"select doc_id, text from '{SF_DIR}/documents.parquet'").fetchall()
     got = sorted((tuple(r) for r in q.op11_huffman_token_files(spark, SF_DIR).collect()), key=lambda r: r[1])
     assert got == expected(rows)
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """The default batch of 10,000 rows holds 10,000 texts and their ids at once in every task."""
+    from treeloom.llm import textarrays
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "10000")
+    tf.tokenized(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), "unused")
+    assert spark.conf.get(key) == textarrays.BATCH_ROWS

@@ -70,9 +70,9 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
         finally:
             # The unit tables and tokenizers are large; a reused worker need not carry them into later stages.
             packing._tokenizers.pop(tokenizer, None)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
+    rows = ta.bounded(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
-    return rows.mapInArrow(encode, "doc_id bigint, key bigint, ids array<int>")
+    return rows.mapInArrow(ta.released(encode), "doc_id bigint, key bigint, ids array<int>")
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -186,7 +186,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
         nz = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(nz, pa.int64()), pa.array(total[nz], pa.int64())], ["id", "count"])
 
-    counts = ids.select("ids").mapInArrow(counted, "id bigint, count bigint").groupBy("id").agg(F.sum("count").alias("count"))
+    counts = ids.select("ids").mapInArrow(ta.released(counted), "id bigint, count bigint").groupBy("id").agg(F.sum("count").alias("count"))
     table = counts.orderBy("id").toPandas()            # at most the tokenizer's vocabulary
     symbols = table["id"].to_numpy(np.int64)
     lengths = code_lengths(table["count"].to_numpy(np.int64))
@@ -241,7 +241,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
     ordered = (ids.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "key", "row")
                .sortWithinPartitions(F.asc_nulls_first("doc_id"), "key", "row")
                .select("doc_id", "key", "ids", F.spark_partition_id().alias("part")))
-    ordered.mapInArrow(encoded, _BLOCKS).write.parquet(f"{folder}/blocks")
+    ordered.mapInArrow(ta.released(encoded), _BLOCKS).write.parquet(f"{folder}/blocks")
     return folder
 
 
@@ -277,7 +277,7 @@ def read(spark, folder: str) -> DataFrame:
                 ("local", pa.int64()), ("length", pa.int64()), ("crc", pa.int64())]))
 
     blocks = spark.read.parquet(f"{folder}/blocks")
-    pieces = materialize(blocks.mapInArrow(decoded, _DECODED), "token-pieces")
+    pieces = materialize(blocks.mapInArrow(ta.released(decoded), _DECODED), "token-pieces")
     per_part = pieces.groupBy("part").agg(F.sum("length").alias("n"))
     begins = per_part.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("base"))
     split = pieces.groupBy("part", "seq").agg(F.count(F.lit(1)).alias("k"))
