@@ -434,6 +434,45 @@ def test_paragraphs_find_edited_passages(spark):
         assert start - slack <= r.first_word and r.first_word + r.n_words <= start + rows[r.doc_id][2] + slack
 
 
+def test_paragraph_buckets_are_searched_together(monkeypatch):
+    """Members of three buckets against all pairs; spans are sought for no pair that has none, though pairs share LEAST shingles."""
+    rng, asked, span = np.random.RandomState(3), [], paragraphs._span
+    e, width, rows = paragraphs.EXTEND, paragraphs.SHINGLE + 2 * paragraphs.EXTEND, []
+    for part, n in ((5, 2), (7, 30), (9, 24)):
+        base = rng.randint(1, 1 << 30, width)
+        if part == 9:
+            base = np.tile(base[:7], width)[:width]  # a text that repeats itself
+        for k in range(n):
+            x = base.copy()
+            apart = rng.rand(width) < (k % 4) / 40
+            if k % 6 == 1:
+                apart[k % 8::8] = True  # shares 3 shingles of 8
+            apart[e:e + paragraphs.SHINGLE] = False
+            x[apart] = rng.randint(1, 1 << 30, int(apart.sum()))
+            rows.append((part, len(rows), x))
+
+    def linked(x, y):
+        shingles = [[tuple(w[i:i + paragraphs.SHINGLE]) for i in range(2 * e + 1)] for w in (x.tolist(), y.tolist())]
+        alike = lambda a, b, c, d: 10 * len(u := {*shingles[0][a + e:b + e + 1]} & {*shingles[1][c + e:d + e + 1]}) >= 8 * len(
+            {*shingles[0][a + e:b + e + 1]} | {*shingles[1][c + e:d + e + 1]}) and len(u) > 0
+        apart = np.flatnonzero(np.concatenate(([True], x != y, [True]))) - 1 - e  # words, from the anchor's first on
+        run = apart[apart > 0].min() - apart[apart < 0].max() - paragraphs.SHINGLE
+        if alike(-12, 12, -12, 12) or run >= paragraphs.LEAST:
+            return True
+        near = {a: min(same, key=lambda b: (abs(a - b), b)) for a in range(-e, e + 1) if (same := [
+            b for b in range(-e, e + 1) if np.sign(a) == np.sign(b) and shingles[0][a + e] == shingles[1][b + e]])}
+        found = len(near) >= paragraphs.LEAST and span(np.array([*near]), np.array([*near.values()]))
+        return bool(found) and alike(*found)
+
+    want = components(len(rows), [(i, j) for i, (p, _, x) in enumerate(rows) for j, (r, _, y) in enumerate(rows) if i != j and p == r and linked(x, y)])
+    monkeypatch.setattr(paragraphs, "_span", lambda a, b: asked.append(span(a, b)) or asked[-1])
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(
+        [np.append(e, r[2]).astype(np.int32) for r in rows], pa.list_(pa.int32()))], ["part", "id", "words"])
+    found = [r for b in paragraphs._linked(iter([batch.slice(0, 13), batch.slice(13)])) for r in b.to_pylist()]
+    assert components(len(rows), [(r["u"], r["v"]) for r in found]) == want and len({*want}) > 3
+    assert asked and None not in asked
+
+
 def test_context_counts_come_in_batches(monkeypatch):
     """A block is read and handed on in batches, whatever its size, and its counts are those of all its rows."""
     monkeypatch.setattr(ctw, "ROWS_OUT", 50)
