@@ -460,7 +460,7 @@ def test_paragraph_buckets_are_searched_together(monkeypatch):
         if alike(-12, 12, -12, 12) or run >= paragraphs.LEAST:
             return True
         near = {a: min(same, key=lambda b: (abs(a - b), b)) for a in range(-e, e + 1) if (same := [
-            b for b in range(-e, e + 1) if np.sign(a) == np.sign(b) and shingles[0][a + e] == shingles[1][b + e]])}
+            b for b in range(-e, e + 1) if shingles[0][a + e] == shingles[1][b + e] and np.sign(a) == np.sign(b)])}
         found = len(near) >= paragraphs.LEAST and span(np.array([*near]), np.array([*near.values()]))
         return bool(found) and alike(*found)
 
