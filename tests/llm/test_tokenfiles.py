@@ -106,3 +106,27 @@ def test_texts_reach_python_in_small_batches(spark):
     spark.conf.set(key, "10000")
     tf.tokenized(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), "unused")
     assert spark.conf.get(key) == textarrays.BATCH_ROWS
+
+
+def test_ids_travel_as_two_bytes(spark):
+    """As an array of integers each id takes four bytes of a shuffle."""
+    import pyarrow as pa
+    rows = [(1, None), (2, "a b c " * 50), (3, "ünïcode ✓ text")]
+    got = tf.tokenized(spark.createDataFrame(rows, "doc_id bigint, text string"), tokenizer()).orderBy("doc_id").toPandas()
+    assert [len(x) for x in got.ids] == [2 * n for n in got.n] and got.n[0] == 1
+    wide = np.array([70000, 1], "<u4").tobytes()  # of another vocabulary
+    values, bounds = tf.unpacked(pa.array([got.ids[0], wide, got.ids[2]], pa.binary())[1:], np.array([2, got.n[2]]))
+    assert values[:2].tolist() == [70000, 1] and bounds.tolist() == [0, 2, 2 + got.n[2]]
+    assert (values[2:] == np.frombuffer(got.ids[2], "<u2")).all()
+
+
+def test_a_block_of_full_lanes_and_one_of_few_ids_are_decoded():
+    """Lanes step without masks, the last one beyond its ids."""
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 63, 64, 65, 128):
+        ids = rng.integers(0, 900, n)
+        symbols, lengths = np.arange(900), tf.code_lengths(1 + 2 ** (np.arange(900) // 40))
+        payload, bits, checkpoints = tf.encode_block(ids, tf.canonical(symbols, lengths), lengths)
+        assert len(payload) == -(-bits // 8) and lengths.max() > 16
+        out = tf.decode_block(payload, n, checkpoints, *tf.decode_table(symbols, lengths))
+        assert out.tolist() == ids.tolist()

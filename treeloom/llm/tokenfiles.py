@@ -51,8 +51,9 @@ _DECODED = "part int, seq bigint, doc_id bigint, at bigint, local bigint, length
 RESULT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """doc_id, key (text hash), ids (array<int>, end id appended) of every row. Word units are tokenized
-    once per worker and found again by hash (`packing.Ids`), which gives the ids of whole texts."""
+    """doc_id, key (text hash), ids (end id appended) and n, their number, of every row. Word units are tokenized
+    once per worker and found again by hash (`packing.Ids`), which gives the ids of whole texts. The ids are
+    little-endian bytes, two or four an id (see `unpacked`), which a shuffle carries at half the size of an array."""
     def encode(batches):
         ids_of = packing.Ids.of(tokenizer)
         try:
@@ -60,19 +61,33 @@ def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
                 data, offsets = ta.buffers(batch.column(1))
                 for a, b in ta.chunks(offsets):
                     found, _, _ = ids_of.texts(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                    ids = [np.append(np.frombuffer(x, "<u4").astype(np.int32), np.int32(END_ID)) for x in found]
-                    lengths = np.array([len(x) for x in ids], np.int32)
-                    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                    values = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
+                    lengths = np.array([len(x) // 4 for x in found], np.int64)
+                    ids = np.insert(np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths), END_ID)
+                    ids = ids.astype("<u2" if int(ids.max()) < 1 << 16 else "<u4")
+                    bounds = np.concatenate(([0], np.cumsum(lengths + 1))) * ids.itemsize
+                    values = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids)])
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a),
-                         pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), values)], ["doc_id", "key", "ids"])
+                         values.cast(pa.binary()), pa.array((lengths + 1).astype(np.int32))], ["doc_id", "key", "ids", "n"])
         finally:
             # The unit tables and tokenizers are large; a reused worker need not carry them into later stages.
             packing._tokenizers.pop(tokenizer, None)
     rows = ta.bounded(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("key"))
-    return rows.mapInArrow(ta.released(encode), "doc_id bigint, key bigint, ids array<int>")
+    return rows.mapInArrow(ta.released(encode), "doc_id bigint, key bigint, ids binary, n int")
+
+
+def unpacked(ids: pa.Array, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows of `tokenized`, one after the other, and the bounds of each row's."""
+    bounds = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+    if not len(n):
+        return np.zeros(0, np.uint16), bounds
+    offsets = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+    data, width = ids.buffers()[2], np.diff(offsets) // n
+    if width.min() == width.max():
+        return np.frombuffer(data, f"<u{width[0]}", int(bounds[-1]), int(offsets[0])), bounds
+    return np.concatenate([np.frombuffer(data, f"<u{w}", k, a).astype(np.uint32)
+                           for w, k, a in zip(width.tolist(), n.tolist(), offsets.tolist())]), bounds
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -124,49 +139,39 @@ def canonical(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def encode_block(ids: np.ndarray, table_codes: np.ndarray, table_lengths: np.ndarray) -> tuple[bytes, int, np.ndarray]:
     """Payload, bit count and checkpoints (bit offset of every STRIDE-th id) of one block."""
     lengths = table_lengths[ids]
-    codes = table_codes[ids]
     ends = np.cumsum(lengths)
     starts = ends - lengths
-    total = int(ends[-1]) if len(ends) else 0
-    bits = np.zeros(total, np.uint8)
-    for j in range(int(lengths.max(initial=0))):
-        has = lengths > j
-        bits[starts[has] + j] = (codes[has] >> (lengths[has] - 1 - j)) & 1
-    return np.packbits(bits).tobytes(), total, starts[::STRIDE].astype(np.int64)
+    total, width = int(ends[-1]) if len(ends) else 0, int(lengths.max(initial=0))
+    if not total:
+        return b"", 0, starts[::STRIDE].astype(np.int64)
+    # A row of bits for each id, its code on the left.
+    codes = (table_codes[ids] << (32 - lengths)).astype(">u4")
+    bits = np.unpackbits(codes.view(np.uint8).reshape(-1, 4), axis=1, count=width)
+    return np.packbits(bits[np.arange(width) < lengths[:, None]]).tobytes(), total, starts[::STRIDE].astype(np.int64)
 
 
 def decode_table(symbols: np.ndarray, lengths: np.ndarray, limit: int = LIMIT) -> tuple[np.ndarray, np.ndarray]:
     """Lookup of the next `limit` bits: the id and its code length."""
-    codes = canonical(symbols, lengths)
-    ids = np.zeros(1 << limit, np.int32)
-    sizes = np.zeros(1 << limit, np.int32)
-    for s, c, length in zip(symbols.tolist(), codes.tolist(), lengths.tolist()):
-        lo = c << (limit - length)
-        ids[lo:lo + (1 << (limit - length))] = s
-        sizes[lo:lo + (1 << (limit - length))] = length
+    order = np.lexsort((symbols, lengths))  # that of the codes, which have no gaps
+    entries = 1 << (limit - lengths[order])
+    ids, sizes = np.zeros(1 << limit, np.int32), np.zeros(1 << limit, np.int32)
+    ids[:entries.sum()], sizes[:entries.sum()] = np.repeat(symbols[order], entries), np.repeat(lengths[order], entries)
     return ids, sizes
 
 
 def decode_block(payload: bytes, n_ids: int, checkpoints: np.ndarray, ids_of: np.ndarray, size_of: np.ndarray,
                  limit: int = LIMIT) -> np.ndarray:
     """The ids of one block: all lanes (one per checkpoint) step together, STRIDE steps at most."""
-    data = np.frombuffer(payload + b"\0\0\0\0", np.uint8).astype(np.uint64)
-    out = np.zeros(n_ids, np.int64)
-    lanes = len(checkpoints)
-    position = checkpoints.astype(np.int64).copy()
-    mask = np.uint64((1 << limit) - 1)
+    # The last lane may go on beyond the end, as all lanes make all steps.
+    data = np.frombuffer(payload + bytes(STRIDE * limit // 8 + 8), np.uint8).astype(np.uint32)
+    words = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]  # the 32 bits from each byte on
+    out = np.zeros((STRIDE, len(checkpoints)), np.int32)
+    position = checkpoints.astype(np.int64)
     for step in range(STRIDE):
-        index = np.arange(lanes) * STRIDE + step
-        live = index < n_ids
-        if not live.any():
-            break
-        p = position[live]
-        byte = p >> 3
-        word = (data[byte] << np.uint64(24)) | (data[byte + 1] << np.uint64(16)) | (data[byte + 2] << np.uint64(8)) | data[byte + 3]
-        peek = (word >> (np.uint64(32 - limit) - (p & 7).astype(np.uint64))) & mask
-        out[index[live]] = ids_of[peek]
-        position[live] = p + size_of[peek]
-    return out
+        peek = (words[position >> 3] << (position & 7).astype(np.uint32)) >> np.uint32(32 - limit)
+        out[step] = ids_of[peek]
+        position += size_of[peek]
+    return out.T.reshape(-1)[:n_ids]
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
@@ -178,7 +183,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
     def counted(batches):
         total = np.zeros(0, np.int64)
         for batch in batches:
-            values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            values, _ = unpacked(batch.column(0), batch.column(1).to_numpy())
             found = np.bincount(values, minlength=len(total)) if len(values) else np.zeros(len(total), np.int64)
             if len(found) > len(total):
                 total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
@@ -186,7 +191,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
         nz = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(nz, pa.int64()), pa.array(total[nz], pa.int64())], ["id", "count"])
 
-    counts = ids.select("ids").mapInArrow(ta.released(counted), "id bigint, count bigint").groupBy("id").agg(F.sum("count").alias("count"))
+    counts = ids.select("ids", "n").mapInArrow(ta.released(counted), "id bigint, count bigint").groupBy("id").agg(F.sum("count").alias("count"))
     table = counts.orderBy("id").toPandas()            # at most the tokenizer's vocabulary
     symbols = table["id"].to_numpy(np.int64)
     lengths = code_lengths(table["count"].to_numpy(np.int64))
@@ -214,10 +219,8 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
 
         for batch in batches:
             if part is None and batch.num_rows:
-                part = int(batch.column(3)[0].as_py())
-            lists = batch.column(2)
-            offsets = lists.offsets.to_numpy()
-            values = lists.values.to_numpy(zero_copy_only=False)
+                part = int(batch.column(4)[0].as_py())
+            values, offsets = unpacked(batch.column(2), batch.column(3).to_numpy())
             doc_ids = batch.column(0).to_pylist()
             out = []
             for i in range(batch.num_rows):
@@ -240,7 +243,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str | None = None) -> str:
 
     ordered = (ids.repartitionByRange(parts, F.asc_nulls_first("doc_id"), "key", "row")
                .sortWithinPartitions(F.asc_nulls_first("doc_id"), "key", "row")
-               .select("doc_id", "key", "ids", F.spark_partition_id().alias("part")))
+               .select("doc_id", "key", "ids", "n", F.spark_partition_id().alias("part")))
     ordered.mapInArrow(ta.released(encoded), _BLOCKS).write.parquet(f"{folder}/blocks")
     return folder
 
