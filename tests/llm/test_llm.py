@@ -503,3 +503,36 @@ def test_python_stages_give_memory_back(monkeypatch):
     assert next(some) == 2
     some.close()
     assert len(calls) == 4
+
+
+def test_large_paragraph_buckets_are_searched_in_blocks(spark, monkeypatch):
+    """Every two members of a bucket over BLOCK meet or are in one component, in rows that grow with the bucket;
+    pairs of blocks would hold each of the 120 members 11 times. The documents found are those of whole buckets."""
+    monkeypatch.setattr(paragraphs, "BLOCK", 10)
+    places = spark.createDataFrame([(7, 1000 + i, i) for i in range(120)], "key bigint, place bigint, id bigint")
+    blocks = paragraphs._blocks(places).collect()
+    assert len(blocks) == len({r.place for r in blocks}) == 120 and 8 <= len({r.part for r in blocks}) <= 12
+    named = {i: 0 if i < 100 else 100 if i < 103 else i for i in range(120)}
+    component = spark.createDataFrame([(i, named[i]) for i in range(103)], "id bigint, component bigint")
+    rows = paragraphs._across(places, component).collect()
+    parts: dict = {}
+    for r in rows:
+        assert r.known == named[r.place - 1000]
+        parts.setdefault(r.part, set()).add(r.place - 1000)
+    met = {(i, j) for members in parts.values() for i in members for j in members}
+    assert all((i, j) in met for i in range(120) for j in range(120) if named[i] != named[j])
+    assert sum(r.place < 1100 for r in rows) == 100 * 2 and max(map(len, parts.values())) < 50
+    rng, texts = random.Random(11), []
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    for _ in range(2):  # two passages over one common phrase, in copies with a changed word, and texts that share the phrase alone
+        passage = text(40) + [f"phrase{k}" for k in range(5)] + text(40)
+        for k in range(30):
+            copy = list(passage)
+            copy[(7 * k) % 40] = f"changed{k}"
+            texts.append(text(30) + copy + text(30))
+    texts += [text(40) + [f"phrase{k}" for k in range(5)] + text(40) for _ in range(5)]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    found = lambda: {(r.doc_id, r.kept_doc_id) for r in paragraphs.repeated(frame, "large").collect()}
+    small = found()
+    monkeypatch.setattr(paragraphs, "BLOCK", 8192)
+    assert small == found() and {i for i, _ in small} == set(range(60))
