@@ -536,3 +536,43 @@ def test_large_paragraph_buckets_are_searched_in_blocks(spark, monkeypatch):
     small = found()
     monkeypatch.setattr(paragraphs, "BLOCK", 8192)
     assert small == found() and {i for i, _ in small} == set(range(60))
+
+
+def test_second_paragraph_search_asks_for_many_members(monkeypatch):
+    """96 members that share their anchor alone, 64 of them known to be one group: a few calls, not one for each member
+    outside the group, and no pair's places are laid out."""
+    rng, e, calls, laid = np.random.RandomState(2), paragraphs.EXTEND, [], []
+    rows = rng.randint(1, 1 << 30, (96, paragraphs.SHINGLE + 2 * e))
+    rows[:, e:e + paragraphs.SHINGLE] = rows[0, e:e + paragraphs.SHINGLE]
+    rows[95, :e], rows[95, e + paragraphs.SHINGLE:e + 40] = rows[90, :e], rows[90, e + paragraphs.SHINGLE:e + 40]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.full(96, 7)), pa.array(np.arange(96)), pa.array([[e, *x] for x in rows.tolist()], pa.list_(pa.int32())),
+                                        pa.array([0] * 64 + list(range(64, 96)))], ["part", "id", "words", "known"])
+    near, spans = paragraphs.Shingles.near, paragraphs._spans
+    monkeypatch.setattr(paragraphs.Shingles, "near", lambda self, asked: calls.append(1) or near(self, asked))
+    monkeypatch.setattr(paragraphs, "_spans", lambda places: laid.append(len(places)) or spans(places))
+    found = [r for b in paragraphs._linked(iter([batch]), True) for r in b.to_pylist()]
+    assert [{r["u"], r["v"]} for r in found] == [{90, 95}]
+    assert len(calls) < 20 and sum(laid) < 8
+
+
+def test_paragraph_texts_and_components_are_moved_once(spark, monkeypatch):
+    """The second search of large buckets reads no text again; buckets that are not large need no rounds for their components."""
+    rng, texts = random.Random(13), []
+    text = lambda n: [f"w{rng.randrange(10 ** 6)}" for _ in range(n)]
+    for _ in range(2):
+        passage = text(40) + [f"phrase{k}" for k in range(5)] + text(40)
+        for k in range(20):
+            copy = list(passage)
+            copy[(7 * k) % 40] = f"changed{k}"
+            texts.append(text(30) + copy + text(30))
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    kinds, scans, rounds = type(frame), [], []
+    mapped, components_ = kinds.mapInArrow, links.components
+    monkeypatch.setattr(kinds, "mapInArrow", lambda self, f, *a, **k: scans.append(f is paragraphs._members) or mapped(self, f, *a, **k))
+    monkeypatch.setattr(links, "components", lambda *a: rounds.append(1) or components_(*a))
+    small = {tuple(r) for r in paragraphs.repeated(frame, "once").select("doc_id", "kept_doc_id").collect()}
+    assert sum(scans) == 1 and not rounds and {i for i, _ in small} == set(range(40))
+    monkeypatch.setattr(paragraphs, "BLOCK", 10)
+    scans.clear()
+    large = {tuple(r) for r in paragraphs.repeated(frame, "twice").select("doc_id", "kept_doc_id").collect()}
+    assert sum(scans) == 1 and rounds and large == small
