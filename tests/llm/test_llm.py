@@ -548,7 +548,7 @@ def test_second_paragraph_search_asks_for_many_members(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(np.full(96, 7)), pa.array(np.arange(96)), pa.array([[e, *x] for x in rows.tolist()], pa.list_(pa.int32())),
                                         pa.array([0] * 64 + list(range(64, 96)))], ["part", "id", "words", "known"])
     near, spans = paragraphs.Shingles.near, paragraphs._spans
-    monkeypatch.setattr(paragraphs.Shingles, "near", lambda self, asked: calls.append(1) or near(self, asked))
+    monkeypatch.setattr(paragraphs.Shingles, "near", lambda self, *a: calls.append(1) or near(self, *a))
     monkeypatch.setattr(paragraphs, "_spans", lambda places: laid.append(len(places)) or spans(places))
     found = [r for b in paragraphs._linked(iter([batch]), True) for r in b.to_pylist()]
     assert [{r["u"], r["v"]} for r in found] == [{90, 95}]
