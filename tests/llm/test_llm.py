@@ -129,6 +129,36 @@ def test_lines_against_brute_force(docs):
     assert got == expected
 
 
+def test_lines_of_large_coarse_groups(spark, docs, monkeypatch):
+    found = lambda: sorted(map(tuple, lines.groups(docs).collect()), key=repr)
+    whole, handed, verified = found(), [], links.verified
+    monkeypatch.setattr(links, "verified", lambda members, sets: handed.append(members.count()) or verified(members, sets))
+    monkeypatch.setattr(links, "BLOCK", 2)
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", 0)
+    assert found() == whole
+    # A chain of buckets of two lines each: one coarse group, whose lines must not meet in pairs of blocks.
+    chain = spark.createDataFrame([(1, i) for i in range(60)], "coarse bigint, id bigint")
+    buckets = spark.createDataFrame([(i + k, 1000 + i) for i in range(59) for k in (0, 1)], "id bigint, bucket bigint")
+    dealt = collections.defaultdict(set)
+    for r in links.parts(chain, buckets).collect():
+        dealt[r["part"]].add(r["id"])
+    assert sorted(map(sorted, dealt.values())) == [[i, i + 1] for i in range(59)]
+    assert len(handed) == 1 and handed[0] > 0
+
+
+def test_places_of_lines(spark):
+    rows = [(7, "One\n\n two  Words \nx"), (-9, None), (8, "a\nb")]
+    texts = spark.createDataFrame(rows, "row bigint, text string")
+    places = spark.createDataFrame([(7, 2), (7, 0), (8, 1), (-9, 0), (-9, 3)], "row bigint, line_no int")
+    found = {tuple(r) for r in texts.mapInArrow(lines._placed(lines._bitmap(places, 5)), "row bigint, line_no int, line string").collect()}
+    own = {(7, 0, "one"), (7, 2, "two words"), (7, 3, "x"), (8, 0, "a"), (8, 1, "b")}
+    assert {(7, 0, "one"), (7, 2, "two words"), (8, 1, "b")} <= found <= own
+    # Other lines are left out before anything is exchanged.
+    many = spark.createDataFrame([(i * 2654435761, "a\nb\nc\nd") for i in range(500)], "row bigint, text string")
+    asked = spark.createDataFrame([(5 * 2654435761, 1)], "row bigint, line_no int")
+    assert many.mapInArrow(lines._placed(lines._bitmap(asked, 1)), "row bigint, line_no int, line string").count() < 200
+
+
 def test_lines_cases(spark, cases):
     left = lines.dedupe(cases)
     assert left.columns == cases.columns

@@ -7,7 +7,9 @@ band's smallest line (a star, never all pairs), their coarse components are veri
 Jaccard (`links.verified`), and the verified links' components keep their first line, by doc_id and
 line number. Equal lines are one class from the start, so a line that a third of all rows repeat is
 hashed into the bands once by a task; they are told apart by
-64-bit hashes.
+64-bit hashes. Chance links join ever more coarse components as the table grows, until one holds most candidates. So
+of a component over `links.BLOCK` lines each bucket of a band is verified by itself, which is every pair of candidates.
+Of the texts only the candidates' lines are exchanged, found by a bitmap of their places.
 
 Defined cases: a null or empty text has no lines; lines without a word are left alone; a line shorter
 than a shingle is one shingle; a null doc_id comes first in the order; rows that are equal in doc_id and
@@ -34,6 +36,8 @@ CHUNK_CHARS = 1 << 18
 SEEN_LINES = 200_000
 #: Candidate and answer tables up to this number of lines are sent to all tasks; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 400_000
+#: Bits of the bitmap of places for each place, and of all; a place that is not asked for but has a set bit is dropped by the join.
+PLACE_BITS, MOST_BITS = 16, 1 << 26
 
 _random = np.random.RandomState(8)
 _MASKS = _random.randint(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
@@ -112,7 +116,10 @@ def _described(batches):
 
 
 def _stars(batches):
-    """(u, v): each line of a band and the band's smallest line; all rows of a band are in this task."""
+    """(u, v, bucket): each line of a band and the band's smallest line; all rows of a band are in this task.
+
+    Bands of one line are left out; bucket is a hash of the band's lines, so bands of equal lines are one bucket.
+    """
     parts = [[], []]
     for batch in batches:
         for i in range(2):
@@ -120,28 +127,64 @@ def _stars(batches):
     if not parts[0]:
         return
     band, ids = (np.concatenate(x) for x in parts)
-    order = np.argsort(band, kind="stable")
+    order = np.lexsort((ids, band))
     band, ids = band[order], ids[order]
+    new = np.concatenate(([True], (band[1:] != band[:-1]) | (ids[1:] != ids[:-1])))
+    band, ids = band[new], ids[new]
     edge = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
-    least = np.repeat(np.minimum.reduceat(ids, edge), np.diff(np.append(edge, len(ids))))
-    keep = ids != least
-    yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(least[keep])], ["u", "v"])
+    count = np.diff(np.append(edge, len(ids)))
+    bucket = ta.mix(np.add.reduceat(ta.mix(ids.view(np.uint64)), edge)).view(np.int64)
+    keep = np.repeat(count > 1, count)
+    columns = ids, np.repeat(ids[edge], count), np.repeat(bucket, count)
+    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in columns], ["u", "v", "bucket"])
 
 
 def _identified(docs: DataFrame, *more) -> DataFrame:
     return ta.bounded(docs).select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text", *more)
 
 
-def _members(batches):
-    """(part, id, line) from (text, wanted), wanted: (line_no, part, id) of the lines to take."""
-    for batch in batches:
-        out = []
-        for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
-            split = (text.as_py() or "").encode().split(b"\n")
-            out += [(w["part"], w["id"], normal(split[w["line_no"]]).decode()) for w in wanted.as_py()]
-        if out:
-            columns = zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.string()], strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], ["part", "id", "line"])
+def _slot(row, line_no, bits: int):
+    """A place's bit, for columns and for arrays; `bits` is a power of two."""
+    if isinstance(row, np.ndarray):
+        return (row ^ (line_no * 40503)) & (bits - 1)
+    return row.bitwiseXOR(line_no.cast("bigint") * 40503).bitwiseAND(F.lit(bits - 1))
+
+
+def _bitmap(places: DataFrame, n: int) -> np.ndarray:
+    """The set bits of n places (row, line_no), as bytes."""
+    bits = min(MOST_BITS, max(1 << 15, 1 << (n * PLACE_BITS).bit_length()))
+    out = np.zeros((bits >> 15, 1 << 12), np.uint8)
+    slots = places.select(_slot(F.col("row"), F.col("line_no"), bits).alias("slot"))
+    for block, held in slots.groupBy(F.shiftright("slot", 15).alias("block")).agg(
+            F.bitmap_construct_agg(F.col("slot").bitwiseAND(F.lit((1 << 15) - 1)))).collect():
+        out[block] = np.frombuffer(held, np.uint8)
+    return out.ravel()
+
+
+def _placed(bitmap: np.ndarray):
+    """(row, line_no, line) from (row, text), for the places whose bit is set."""
+    def out(batches):
+        for batch in batches:
+            texts = batch.column(1).cast(pa.large_binary()).fill_null(b"").to_pylist()
+            count = np.array([x.count(b"\n") + 1 for x in texts], np.int64)
+            own = np.repeat(np.arange(len(texts)), count)
+            number = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
+            rows = batch.column(0).to_numpy()[own]
+            slot = _slot(rows, number, 8 * len(bitmap))
+            held, split, last = [], [], -1
+            for i in np.flatnonzero(bitmap[slot >> 3] >> (slot & 7).astype(np.uint8) & 1).tolist():
+                if own[i] != last:
+                    last = own[i]
+                    split = texts[last].split(b"\n")
+                line = normal(split[number[i]])
+                if line:
+                    held.append((i, line.decode()))
+            if held:
+                at, lines = zip(*held, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[list(at)]), pa.array(number[list(at)].astype(np.int32)), pa.array(lines, pa.string())],
+                                                 ["row", "line_no", "line"])
+
+    return out
 
 
 def _sets(column: pa.Array) -> list[np.ndarray]:
@@ -156,19 +199,19 @@ def groups(docs: DataFrame, name: str = "lines") -> DataFrame:
     """
     described = materialize(_identified(docs).mapInArrow(
         ta.released(_described), "row bigint, doc_id bigint, line_no int, id bigint, bands array<bigint>"), f"{name}-described")
-    stars = described.select(F.explode("bands").alias("band"), "id").repartition("band").mapInArrow(ta.released(_stars), "u bigint, v bigint")
-    coarse = links.components(stars, f"{name}-coarse")
+    buckets = materialize(described.select(F.explode("bands").alias("band"), "id").repartition("band").mapInArrow(
+        ta.released(_stars), "u bigint, v bigint, bucket bigint"), f"{name}-buckets")
+    coarse = links.components(buckets, f"{name}-coarse").select(F.col("component").alias("coarse"), F.col("node").alias("id"))
     # A class is all equal lines.
     classes = materialize(described.groupBy("id").agg(
         F.min(F.struct("doc_id", "line_no", "row")).alias("first"), F.count("*").alias("n")), f"{name}-classes")
     wanted = materialize(
-        classes.join(links.parts(coarse.select(F.col("component").alias("coarse"), F.col("node").alias("id"))), "id")
-        .groupBy("first.row").agg(F.collect_list(F.struct("first.line_no", "part", "id")).alias("wanted")), f"{name}-wanted")
-    texts = _identified(docs).select("row", "text")
-    if (wanted.agg(F.sum(F.size("wanted"))).first()[0] or 0) <= BROADCAST_ROWS:  # lines, of which a row may have many
-        wanted = F.broadcast(wanted)
-    sets = texts.join(wanted, "row").select("text", "wanted").mapInArrow(
-        ta.released(_members), "part bigint, id bigint, line string")
+        classes.join(links.parts(coarse, buckets.select(F.col("u").alias("id"), "bucket")), "id")
+        .select("first.row", "first.line_no", "part", "id"), f"{name}-wanted")
+    n = wanted.count()
+    texts = _identified(docs).select("row", "text").mapInArrow(
+        ta.released(_placed(_bitmap(wanted, n))), "row bigint, line_no int, line string")
+    sets = texts.join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, ["row", "line_no"]).select("part", "id", "line")
     found = links.components(links.verified(sets, _sets), name)
     repeated = classes.join(found.select(F.col("node").alias("id"), "component"), "id", "left").where(
         "n > 1 or component is not null").withColumn("group", F.coalesce("component", "id"))
