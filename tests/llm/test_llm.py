@@ -606,3 +606,32 @@ def test_paragraph_texts_and_components_are_moved_once(spark, monkeypatch):
     scans.clear()
     large = {tuple(r) for r in paragraphs.repeated(frame, "twice").select("doc_id", "kept_doc_id").collect()}
     assert sum(scans) == 1 and rounds and large == small
+
+
+def test_pairs_that_share_their_anchor_alone_are_not_looked_at():
+    """No posting of the anchor, which all members of a bucket share, and so no work for each pair that has no more."""
+    rng, e = np.random.RandomState(4), paragraphs.EXTEND
+    rows = rng.randint(1, 1 << 30, (40, paragraphs.SHINGLE + 2 * e)).astype(np.int32)
+    rows[:, e:e + paragraphs.SHINGLE] = rows[0, e:e + paragraphs.SHINGLE]
+    values = np.concatenate((np.full((40, 1), e, np.int32), rows), 1)
+    offsets = np.arange(41) * values.shape[1]
+    shingles = paragraphs.Shingles(np.zeros(40, np.int64), np.arange(40), offsets, values.ravel())
+    assert not len(shingles.term)
+    assert shingles.near([(np.arange(3), np.arange(3, 40))]) == [[], [], []]
+
+
+def test_members_of_texts():
+    """The words around wanted places; a place past the text's end or with other words there is passed over."""
+    texts = ["a b c d e f g h", "One two three four five six seven", "short", None]
+    wanted = []
+    for text, ats in zip(texts, ([0, 3, 4], [2], [0], []), strict=True):
+        data, offsets = paragraphs.ta.buffers(pa.array([text]))
+        w = paragraphs.ta.words(data, offsets, lower=True)
+        wide = [int(paragraphs._around(w.hash, np.array([at]), np.zeros(1, np.int64), np.array([len(w.hash)]), paragraphs.EXTEND)[0])
+                if at + paragraphs.SHINGLE <= len(w.hash) else 0 for at in ats]
+        wanted.append([{"at": at, "wide": x, "part": at, "id": 10 * at, "place": None if at else 5} for at, x in zip(ats, wide, strict=True)])
+    wanted[1].append({**wanted[1][0], "wide": wanted[1][0]["wide"] + 1})
+    kind = pa.list_(pa.struct([("at", pa.int32()), ("wide", pa.int64()), ("part", pa.int64()), ("id", pa.int64()), ("place", pa.int64())]))
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(wanted, kind)], ["text", "wanted"])
+    found = [r for b in paragraphs._members(iter([batch.slice(0, 1), batch.slice(1)])) for r in b.to_pylist()]
+    assert [(r["part"], r["id"], r["place"], r["words"][0], len(r["words"])) for r in found] == [(0, 0, 5, 0, 9), (3, 30, None, 3, 9), (2, 20, None, 2, 8)]
